@@ -163,5 +163,5 @@ def fold_summary(scores: DataFrame, model: str, fold: str, cols: list[str]) -> D
     for c in cols:
         aggregates += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std")]
         ordered = F.array_sort(F.collect_list(F.struct(fold, c)))
-        aggregates.append(F.transform(ordered, lambda s, c=c: s[c]).alias(f"{c}_folds"))
+        aggregates.append(ordered.getField(c).alias(f"{c}_folds"))
     return scores.groupBy(model).agg(*aggregates)
