@@ -20,8 +20,14 @@ def read_subscribers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Headed CSV folder without a row index."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Headed CSV folder without a row index; blanks inside values are kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def append_log(df: DataFrame, path: str, partition_by: list[str] | None = None) -> bool:
