@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["quality", "feature_queries", "scoring_queries", "monitor_queries"]
+MODULES = [
+    "quality",
+    "feature_queries",
+    "scoring_queries",
+    "monitor_queries",
+    "model_queries",
+]
 
 
 def load():

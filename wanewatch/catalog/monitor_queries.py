@@ -457,11 +457,11 @@ def _windowed(spark, folder, **options):
         "event_type",
         "n",
         F.round("total", 2).alias("total"),
-        F.round("squares", 2).alias("squares"),
+        F.round("squares", 4).alias("squares"),
     )
 
 
-STATS = "count(value) AS n, round(sum(value), 2) AS total, round(sum(value * value), 2) AS squares"
+STATS = "count(value) AS n, round(sum(value), 2) AS total, round(sum(value * value), 4) AS squares"
 
 
 @query(
