@@ -24,7 +24,8 @@ SPLIT = {"train": 0.8, "test": 0.2}
 
 def _features(spark, folder):
     df = clean_subscribers(spark, folder)
-    return feature_table(df, fit_preprocessor(df, named_spec()), "customerID", "label")
+    made = feature_table(df, fit_preprocessor(df, named_spec()), "customerID", "label")
+    return made.persist()
 
 
 def _parts(spark, folder, shares=SPLIT):
@@ -122,7 +123,8 @@ def bagging_undersampled(spark, folder):
 def compare_ensembles(spark, folder):
     """Weighted vote, stacking, stacking with features."""
     parts = _parts(spark, folder)
-    return ensembles.compare_ensembles(_two(), parts["train"], parts["test"]).drop("train_seconds")
+    found = ensembles.compare_ensembles(_two(), parts["train"], parts["test"], k=2)
+    return found.drop("train_seconds")
 
 
 @query()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,7 +66,8 @@ def preprocess(df: DataFrame, key: str = "customerID", target: str = "Churn") ->
 def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
     """Most frequent value per column, smallest on ties.
 
-    Counted by (column, value) with map-side partial sums; one winner per column returns.
+    Counted by (column, value) with map-side partial sums. Every task keeps its best value
+    per column before the last comparison; one winner per column returns.
     """
     if not cols:
         return {}
@@ -77,8 +78,8 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
         .groupBy("g", "v")
         .agg(F.count("*").alias("n"))
     )
-    best = counts.groupBy("g").agg(F.max("n").alias("n"))
-    winners = counts.join(best, ["g", "n"]).groupBy("g").agg(F.min("v").alias("v"))
+    w = Window.partitionBy("g").orderBy(F.col("n").desc(), "v")
+    winners = counts.withColumn("place", F.row_number().over(w)).where(F.col("place") == 1)
     found = {r["g"]: r["v"] for r in winners.collect()}
     return {c: found.get(c) for c in cols}
 

@@ -100,8 +100,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     )
     below = F.col("neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
     area = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
+    # Joined on the window's own keys: the join's shuffle is the one the window needs.
     out = (
-        lookup_join(ranged, totals, [*names, "part"])
+        ranged.join(totals, [*names, "part"])
         .withColumn("below", below)
         .groupBy(*names)
         .agg(area.alias("a"), F.max("all_pos").alias("p"), F.max("all_neg").alias("n"))

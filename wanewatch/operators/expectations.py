@@ -197,7 +197,6 @@ class InSet(Check):
         details = {
             "column": self.column,
             "expected_set": ",".join(str(v) for v in self.values),
-            "unexpected_values": at("unexpected"),
             "in_set_ratio": F.round(ratio, 6),
             "threshold": self.mostly,
         }
@@ -294,23 +293,18 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
         if not check.present(df):
             missing = _map({"error": "column not found"})
             rows.append(_row(i, check, F.lit(False), missing, _error()))
-            continue
-        if check.distinct_aggregates() or check.value_set() is not None:
-            continue
+        elif not check.distinct_aggregates():
 
-        def at(name: str, i: int = i) -> Column:
-            return F.col(keys[i, name])
+            def at(name: str, i: int = i) -> Column:
+                return F.col(keys[i, name])
 
-        passed, details, severity = check.outcome(df, at)
-        rows.append(_row(i, check, passed, _map(details), severity))
-    sets = [
-        (i, c) for i, c in enumerate(checks) if c.present(df) and c.value_set() is not None
-    ]
+            passed, details, severity = check.outcome(df, at)
+            rows.append(_row(i, check, passed, _map(details), severity))
+    sets = [c for c in enumerate(checks) if c[1].present(df) and c[1].value_set() is not None]
     parts = []
     if rows:
-        parts.append(base.select(F.inline(F.array(*rows))))
-    if sets:
-        parts.append(_membership(df, base, sets, keys))
+        plain = base.select(F.inline(F.array(*rows)))
+        parts.append(_with_unexpected(df, plain, sets) if sets else plain)
     for i, check in enumerate(checks):
         if check.present(df) and check.distinct_aggregates():
             parts.append(_uniqueness(df, i, check))
@@ -327,8 +321,8 @@ def _row(i: int, check: Check, passed: Column, details: Column, severity: Column
     )
 
 
-def _membership(df, base, sets, keys) -> DataFrame:
-    """Results of the membership checks with their first unexpected values, sorted.
+def _with_unexpected(df: DataFrame, rows: DataFrame, sets: list) -> DataFrame:
+    """Add the first unexpected values, sorted, to the details of the membership checks.
 
     Unexpected values are deduplicated by (check, value); a window then keeps the first
     few per check, so no list ever holds more than the number shown.
@@ -336,41 +330,30 @@ def _membership(df, base, sets, keys) -> DataFrame:
     outside = [
         F.when(
             F.col(c.column).isNotNull() & ~F.col(c.column).isin(c.value_set()),
-            F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")),
+            F.struct(F.lit(i + 1).alias("check_id"), F.col(c.column).cast("string").alias("v")),
         )
         for i, c in sets
     ]
-    w = Window.partitionBy("i").orderBy("v")
+    w = Window.partitionBy("check_id").orderBy("v")
     first = (
         df.select(F.inline(F.array_compact(F.array(*outside))))
         .distinct()
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= UNEXPECTED_SHOWN)
-        .groupBy("i")
+        .withColumn("place", F.row_number().over(w))
+        .where(F.col("place") <= UNEXPECTED_SHOWN)
+        .groupBy("check_id")
         .agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("unexpected"))
     )
-    counted = base.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.col(keys[i, "values"]).alias("values"),
-                        F.col(keys[i, "inside"]).alias("inside"),
-                    )
-                    for i, _ in sets
-                ]
-            )
-        )
+    shown = F.create_map(
+        F.lit("unexpected_values"), F.coalesce("unexpected", F.lit(""))
     )
-    joined = counted.join(first, "i", "left").withColumn(
-        "unexpected", F.coalesce("unexpected", F.lit(""))
+    is_set = F.col("check_id").isin([i + 1 for i, _ in sets])
+    return (
+        rows.join(first, "check_id", "left")
+        .withColumn(
+            "details", F.when(is_set, F.map_concat("details", shown)).otherwise(F.col("details"))
+        )
+        .drop("unexpected")
     )
-    chosen = F
-    for i, check in sets:
-        passed, details, severity = check.outcome(df, F.col)
-        chosen = chosen.when(F.col("i") == i, _row(i, check, passed, _map(details), severity))
-    return joined.select(chosen.alias("r")).select("r.*")
 
 
 def _uniqueness(df: DataFrame, i: int, check: Check) -> DataFrame:

@@ -18,6 +18,7 @@ from wanewatch.operators.ranking import newest
 DRIFT_THRESHOLD, DRIFT_MIN_ROWS, DRIFT_WINDOW = 0.1, 100, 1_000
 ALERT_THRESHOLD, HIGH_THRESHOLD = 0.05, 0.1
 LOG_BUFFER, TINY = 10_000, 1e-10
+WIDE_FEATURES = 24
 
 LOG_COLUMNS = [
     "timestamp",
@@ -56,7 +57,28 @@ def prediction_log(
 
 
 def moments(df: DataFrame, features: dict[str, Column]) -> DataFrame:
-    """(feature, n, mean, std, min, max): one aggregate row turned into long form."""
+    """(feature, n, mean, std, min, max) from one pass.
+
+    A few features are aggregated side by side in one row. Many would make one very long
+    generated method, so they are turned into (feature, value) rows first; partial
+    aggregation keeps what is shuffled at one row per task and feature.
+    """
+    if len(features) > WIDE_FEATURES:
+        pairs = [
+            F.struct(F.lit(name).alias("feature"), c.cast("double").alias("x"))
+            for name, c in features.items()
+        ]
+        return (
+            df.select(F.inline(F.array(*pairs)))
+            .groupBy("feature")
+            .agg(
+                F.count("*").alias("n"),
+                F.avg("x").alias("mean"),
+                F.stddev_pop("x").alias("std"),
+                F.min("x").alias("min"),
+                F.max("x").alias("max"),
+            )
+        )
     sums, structs = [], []
     for i, (name, c) in enumerate(features.items()):
         x = c.cast("double")

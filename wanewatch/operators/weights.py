@@ -96,13 +96,22 @@ def weight_search(
         ratio(n - fp - fn, n).alias("accuracy"),
         ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
     )
-    best = scored.agg(F.max_by("candidate", F.struct(metric, -F.col("candidate"))).alias("_best"))
-    # The grid is a fixed list and the best row a single one: both are broadcast.
+    # One entry per candidate of the grid, so the list has a fixed size.
+    every = scored.agg(F.collect_list(F.struct("candidate", "accuracy", "f1")).alias("l"))
+    top = F.array_max(
+        F.transform(
+            "l", lambda c: F.named_struct(F.lit("m"), c[metric], F.lit("c"), -c["candidate"])
+        )
+    )
     return (
-        scored.join(F.broadcast(listed), "candidate")
-        .join(F.broadcast(best), F.col("candidate") == F.col("_best"), "left")
+        every.select((-top["c"]).alias("_best"), F.inline("l"))
+        .join(F.broadcast(listed), "candidate")
         .select(
-            "candidate", *names, "accuracy", "f1", F.col("_best").isNotNull().alias("is_best")
+            "candidate",
+            *names,
+            "accuracy",
+            "f1",
+            (F.col("candidate") == F.col("_best")).alias("is_best"),
         )
     )
 

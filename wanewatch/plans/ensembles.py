@@ -273,13 +273,13 @@ def rebalanced_features(train: DataFrame, strategy: str | None) -> DataFrame:
 
 
 def compare_ensembles(
-    models: dict[str, Estimator], train: DataFrame, validation: DataFrame
+    models: dict[str, Estimator], train: DataFrame, validation: DataFrame, k: int = 5
 ) -> DataFrame:
     """Metrics of weighted vote, stacking and stacking with features, best F1 first."""
     made = {
         "weighted_voting": WeightedVote(models).fit(train, validation),
-        "stacking": Stacking(models).fit(train),
-        "stacking_features": Stacking(models, use_features=True).fit(train),
+        "stacking": Stacking(models, k=k).fit(train),
+        "stacking_features": Stacking(models, use_features=True, k=k).fit(train),
     }
     rows = [{"model": name, **e.evaluate(validation)} for name, e in made.items()]
     return metric_table(train, rows).orderBy(F.col("f1").desc(), "model")

@@ -40,6 +40,12 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
     """
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     before = F.col("o_orderdate") < cutoff
+    # Date and key of an order as one number, and its status as a code: fixed-width buffers
+    # keep the aggregate hash-based, so the orders are not sorted before they are combined.
+    placed = F.expr(
+        "cast(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', o_orderdate) as decimal(19,0))"
+        " * 10000000000000000000bd + o_orderkey"
+    )
     history = (
         table(spark, folder, "orders")
         .where(F.col("o_orderdate") < F.lit(HORIZON_END).cast("timestamp_ntz"))
@@ -49,10 +55,9 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
             F.sum(F.when(before, F.round(F.col("o_totalprice") * 100).cast("bigint"))).alias("cents"),
             F.count_if(before).alias("n_before"),
             F.count_if(~before).alias("n_after"),
-            F.max_by(
-                F.when(before, F.col("o_orderstatus")),
-                F.when(before, F.struct("o_orderdate", "o_orderkey")),
-            ).alias("last_status"),
+            F.max_by(F.when(before, F.ascii("o_orderstatus")), F.when(before, placed)).alias(
+                "last_code"
+            ),
         )
         .where(F.col("n_before") > 0)
     )
@@ -85,7 +90,7 @@ def subscribers(spark: SparkSession, folder: str) -> DataFrame:
         k,
         "c_nationkey",
         "c_mktsegment",
-        "last_status",
+        F.char("last_code").alias("last_status"),
         "n_after",
         cents.alias("month_cents"),
         F.expr(f"cast(datediff(timestamp_ntz'{CUTOFF}', first_at) div 30 as int)").alias("months"),
