@@ -16,6 +16,11 @@ NUMBERS = ["tenure", "MonthlyCharges", "TotalCharges"]
 SPAN = "4503599627370496.0::DOUBLE"
 
 
+def _kept(spark, folder, *cols):
+    """Columns of the clean table for a query that passes over it several times."""
+    return clean_subscribers(spark, folder).select("customerID", "label", *cols).persist()
+
+
 @query(
     on_clean(
         "SELECT \"customerID\", "
@@ -32,9 +37,7 @@ SPAN = "4503599627370496.0::DOUBLE"
 )
 def impute_scale(spark, folder):
     """Median and mode imputation, then population-deviation scaling."""
-    df = clean_subscribers(spark, folder).select(
-        "customerID", *[F.col(c).cast("double").alias(c) for c in NUMBERS], "gender"
-    )
+    df = _kept(spark, folder, *[F.col(c).cast("double").alias(c) for c in NUMBERS], "gender")
     filled = impute(df, {**medians(df, NUMBERS), **modes(df, ["gender"])})
     scaled = features.standardise(filled, features.scale_statistics(filled, NUMBERS))
     return scaled.select("customerID", *[r6(c).alias(c) for c in NUMBERS], "gender")
@@ -263,7 +266,7 @@ FROM (SELECT *, CAST(floor(n * 0.1::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS v,
 )
 def stratified_split(spark, folder):
     """Exact 70/10/20 split per class."""
-    df = clean_subscribers(spark, folder).select("customerID", "label")
+    df = _kept(spark, folder)
     return split.stratified_split(
         df, "customerID", "label", {"train": 0.7, "val": 0.1, "test": 0.2}
     )
@@ -295,7 +298,7 @@ def threshold_split(spark, folder):
     )
 )
 def folds(spark, folder):
-    df = clean_subscribers(spark, folder).select("customerID", "label")
+    df = _kept(spark, folder)
     return split.folds(df, "customerID", "label", 5)
 
 
@@ -305,7 +308,7 @@ def folds(spark, folder):
     )
 )
 def undersample(spark, folder):
-    df = clean_subscribers(spark, folder).select("customerID", "label")
+    df = _kept(spark, folder)
     return split.undersample(df, "customerID", "label")
 
 
@@ -316,7 +319,7 @@ def undersample(spark, folder):
     )
 )
 def class_weights(spark, folder):
-    df = clean_subscribers(spark, folder).select("customerID", "label")
+    df = _kept(spark, folder)
     return split.class_weights(df, "label").withColumn("weight", r6("weight"))
 
 

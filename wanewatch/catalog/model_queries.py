@@ -23,13 +23,13 @@ SPLIT = {"train": 0.8, "test": 0.2}
 
 
 def _features(spark, folder):
-    df = clean_subscribers(spark, folder)
+    df = clean_subscribers(spark, folder).persist()
     made = feature_table(df, fit_preprocessor(df, named_spec()), "customerID", "label")
     return made.persist()
 
 
 def _parts(spark, folder, shares=SPLIT):
-    df = clean_subscribers(spark, folder)
+    df = clean_subscribers(spark, folder).persist()
     _, parts = experiment.prepared_parts(df, shares, named_spec())
     return {name: part.persist() for name, part in parts.items()}
 

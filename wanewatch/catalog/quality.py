@@ -111,7 +111,7 @@ def _filled(c: str) -> str:
 )
 def impute_median_mode(spark, folder):
     """Medians for numbers, modes for texts, a missing target included."""
-    df = cleaning.coerce_total(subscribers(spark, folder)).dropDuplicates()
+    df = cleaning.coerce_total(subscribers(spark, folder)).dropDuplicates().persist()
     return cleaning.impute_all(df)
 
 

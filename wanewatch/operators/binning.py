@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wanewatch.operators.order_stats import long_form, quantiles
+from wanewatch.operators.order_stats import long_form, quantiles, range_number
 
 # Fixed value: edges closer than this are merged.
 EDGE_GAP = 1e-8
@@ -59,8 +59,10 @@ def _weighted_quantiles(
     groups = df.groupBy(F.col(column).cast("double").alias("x")).agg(
         F.sum(F.col(weight).cast("double")).alias("w")
     ).where(F.col("x").isNotNull() & (F.col("w") > 0))
-    cuts = groups.agg(F.percentile_approx("x", [i / 64 for i in range(1, 64)], 1000)).first()[0]
-    ranged = groups.withColumn("part", range_number(F.col("x"), cuts))
+    shares_of_64 = [i / 64 for i in range(1, 64)]
+    cuts = groups.agg(F.percentile_approx("x", shares_of_64, 1000)).first()[0]
+    points = F.array(*[F.lit(float(c)) for c in cuts or [0.0] * 63])
+    ranged = groups.withColumn("part", range_number(F.col("x"), points, 6))
     totals = {r["part"]: r["w"] for r in ranged.groupBy("part").agg(F.sum("w").alias("w")).collect()}
     running, before = 0.0, {}
     for part in sorted(totals):
@@ -79,12 +81,6 @@ def _weighted_quantiles(
     return [float(v) for v in found]
 
 
-def range_number(x: Column, cuts: list[float]) -> Column:
-    """How many of the cut points lie below ``x``."""
-    points = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))])
-    return F.size(F.filter(points, lambda c: c < x))
-
-
 def bin_number(column: str, edges: list[float]) -> Column:
     """Left-closed bin of a value; values beyond the edges fall into the end bins."""
     x = F.col(column)

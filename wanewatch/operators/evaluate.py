@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanewatch.functions.scalars import positive, ratio
+from wanewatch.operators.order_stats import range_number
 from wanewatch.session import lookup_join
 
-SCORE_CUTS = 128
+SCORE_LEVELS = 7
+SCORE_CUTS = 2**SCORE_LEVELS
 
 
 def long_scores(df: DataFrame, key: str, label: str, scores: dict[str, str]) -> DataFrame:
@@ -73,11 +75,11 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     )
     shares = ", ".join(f"{i / SCORE_CUTS}D" for i in range(1, SCORE_CUTS))
     cuts = tally.groupBy(*names).agg(
-        F.expr(f"array_distinct(percentile_approx(s, array({shares}), 2000))").alias("cuts")
+        F.expr(f"percentile_approx(s, array({shares}), 2000)").alias("cuts")
     )
     ranged = (
         lookup_join(tally, cuts, names)
-        .withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("s"))))
+        .withColumn("part", range_number(F.col("s"), F.col("cuts"), SCORE_LEVELS))
         .drop("cuts")
     )
     before = Window.partitionBy(*names).orderBy("part").rowsBetween(

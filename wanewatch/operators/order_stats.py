@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 20_000
@@ -122,3 +122,12 @@ def medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     found = quantiles(long_form(df, cols), [0.5]) if cols else {}
     return {c: found[c][0] if c in found else None for c in cols}
 
+
+def range_number(x: Column, cuts: Column, levels: int) -> Column:
+    """How many of the 2 ** levels - 1 ascending cut points lie below ``x``, by halving."""
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(levels))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) < x, at + step).otherwise(at),
+    )

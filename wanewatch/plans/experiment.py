@@ -63,7 +63,7 @@ def churn_pipeline(
     raw: DataFrame, rebalancing: str | None = "SMOTE", **shrink
 ) -> tuple[object, EnsembleModel, float]:
     """Clean, prepare, rebalance the training part, fit the vote, score the test part."""
-    df = clean(raw, keep_key=True)
+    df = clean(raw, keep_key=True).persist()
     prepared, parts = prepared_parts(df, {"train": 0.8, "test": 0.2}, named_spec())
     model = EnsembleModel("voting", rebalancing, **shrink).fit(parts["train"])
     return prepared, model, model.score(parts["test"])
@@ -73,7 +73,7 @@ def train_predictor(
     raw: DataFrame, path: str | None = None, **shrink
 ) -> tuple[ChurnPredictor, dict[str, float]]:
     """Three-model predictor on a 68/12/20 split; saved below ``path`` if given."""
-    df = clean(raw, keep_key=True)
+    df = clean(raw, keep_key=True).persist()
     prepared, parts = prepared_parts(df, PREDICTOR_SPLIT)
     model = ChurnPredictor(**shrink).fit(parts["train"], parts["val"])
     found = model.evaluate(parts["test"])
@@ -87,7 +87,7 @@ def score_stored(
     spark: SparkSession, raw: DataFrame, preprocessor: str, model: str, log: RunLog | None = None
 ) -> dict[str, float]:
     """Load a stored pipeline and model, score new labelled rows, log the metrics."""
-    df = clean(raw, keep_key=True)
+    df = clean(raw, keep_key=True).persist()
     rows = feature_table(df, load_model(preprocessor), "customerID", "label")
     found = evaluate(with_probability(rows, load_model(model), "stored"), "p_stored")
     if log is not None:
@@ -103,7 +103,7 @@ def run_experiment(
     Returns the benchmark rows, best test accuracy first; files go below ``path``.
     """
     spark = raw.sparkSession
-    df = clean(raw, keep_key=True)
+    df = clean(raw, keep_key=True).persist()
     prepared, parts = prepared_parts(df, SPLIT)
     train, val, test = (parts[p].persist() for p in ("train", "val", "test"))
     log = RunLog(spark, f"{path}/tracking")

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from wanewatch.session import cut_lineage
 
 SEED = 42
+# Fixed value: where the logistic fit stops.
+TOLERANCE = 1e-4
 
 # Default training presets (trees, depth, rate).
 DEFAULTS = {
@@ -131,6 +133,7 @@ class SummedLogistic(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             regParam=1.0 / (self.getOrDefault(self.c) * n),
             standardization=False,
             maxIter=self.getOrDefault(self.maxIter),
+            tol=TOLERANCE,
         ).fit(dataset)
 
 
