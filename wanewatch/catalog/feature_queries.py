@@ -167,7 +167,7 @@ SERVICES = [
 
 @query(
     on_clean(
-        """SELECT "customerID", round("TotalCharges" / (tenure + 1), 6) AS "AvgMonthlyCharges",
+        """SELECT "customerID", round("TotalCharges" / (tenure + 1), 8) AS "AvgMonthlyCharges",
   CASE WHEN tenure > 0 AND tenure <= 12 THEN '0-1yr' WHEN tenure > 12 AND tenure <= 24 THEN '1-2yr'
     WHEN tenure > 24 AND tenure <= 48 THEN '2-4yr' WHEN tenure > 48 AND tenure <= 72 THEN '4yr+' END AS tenure_group, """
         + "CAST("
@@ -177,9 +177,8 @@ SERVICES = [
 )
 def derived_features(spark, folder):
     made = features.derive(clean_subscribers(spark, folder))
-    return made.select(
-        "customerID", r6("AvgMonthlyCharges").alias("AvgMonthlyCharges"), "tenure_group", "service_count"
-    )
+    average = F.round("AvgMonthlyCharges", 8).alias("AvgMonthlyCharges")
+    return made.select("customerID", average, "tenure_group", "service_count")
 
 
 def _binned(edges: str) -> str:

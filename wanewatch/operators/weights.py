@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -42,7 +43,7 @@ def score_candidates(
     candidate; the sums of those rows are the answer. Rows with a NULL are left out.
     """
     weights = [np.array(column) for column in zip(*grid)]
-    totals = np.array([sum(candidate[1:], candidate[0]) for candidate in grid])
+    totals = reduce(np.add, weights)
     step = max(1, CHUNK_CELLS // len(grid))
 
     def count(batches):
