@@ -91,6 +91,17 @@ def test_neighbours_match_brute_force(spark, block):
     assert {(r["id"], r["neighbor"], r["rank"]) for r in found.collect()} == expected
 
 
+def test_copies_beyond_k_get_the_lowest_ids(spark):
+    found = neighbors.nearest(vectors(spark, [[1.0, 1.0]] * 50 + [[2.0, 2.0]]), "id", "v", 3)
+    rows = {}
+    for r in found.collect():
+        rows.setdefault(r["id"], []).append((r["rank"], r["neighbor"]))
+    assert len(rows) == 51
+    assert sorted(rows[40]) == [(1, 0), (2, 1), (3, 2)]
+    assert sorted(rows[1]) == [(1, 0), (2, 2), (3, 3)]
+    assert sorted(rows[50]) == [(1, 0), (2, 1), (3, 2)]
+
+
 def test_neighbours_of_small_groups(spark):
     m = [[0.0], [1.0], [5.0]]
     found = neighbors.nearest(vectors(spark, m, [0, 0, 1]), "id", "v", 5, group="label")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanewatch.functions.scalars import hash_int
-from wanewatch.session import cut_lineage
+from wanewatch.session import cut_lineage, lookup_join
 
 BLOCK_ROWS = 2_048
 MAX_PIVOTS = 256
@@ -66,12 +66,40 @@ def nearest(
     """(id, neighbor, rank, distance): the k nearest other rows of each row.
 
     With ``group``, neighbours come from the row's own group only. Keys are unique bigints.
+    Of equal vectors only the k + 1 lowest ids can be anyone's neighbours, as ties go by id:
+    the search runs on those, and the copies beyond them get their answer without a search.
     """
     points = df.select(
         F.col(key).cast("bigint").alias("id"),
         (F.col(group).cast("string") if group else F.lit("all")).alias("grp"),
         F.col(vector).cast("array<double>").alias("v"),
     ).where(F.col("v").isNotNull() & F.col("grp").isNotNull())
+    same = Window.partitionBy("grp", "v").orderBy("id")
+    kept = (
+        points.withColumn("place", F.row_number().over(same))
+        .where(F.col("place") <= k + 1)
+        .drop("place")
+    )
+    return _search(kept, k, block_rows).unionByName(_beyond(points, kept, k))
+
+
+def _beyond(points: DataFrame, kept: DataFrame, k: int) -> DataFrame:
+    """Neighbours of the copies that were set aside: the k lowest ids of their own vector."""
+    crowds = (
+        kept.groupBy("grp", "v")
+        .agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .where(F.size("ids") > k)
+    )
+    return (
+        lookup_join(points, crowds, ["grp", "v"])
+        .where(F.col("id") > F.get("ids", F.lit(k)))
+        .select("id", F.posexplode(F.slice("ids", 1, k)).alias("at", "neighbor"))
+        .select("id", "neighbor", (F.col("at") + 1).alias("rank"), F.lit(0.0).alias("distance"))
+    )
+
+
+def _search(points: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Block search over (id, grp, v) rows."""
     total = points.count()
     n_pivots = int(min(MAX_PIVOTS, max(1, math.isqrt(max(total // block_rows, 1)) * 4)))
     if total <= block_rows:
@@ -98,7 +126,7 @@ def nearest(
     for r in ranges:
         blocks = math.ceil(r["n"] / block_rows)
         cells.setdefault(r["grp"], []).append((r["cell"], blocks, r["near"], r["far"]))
-    counts = df.sparkSession.createDataFrame(
+    counts = points.sparkSession.createDataFrame(
         [(g, c, blocks) for g, rows in cells.items() for c, blocks, _, _ in rows],
         "grp string, cell int, blocks int",
     )
