@@ -79,6 +79,7 @@ def nearest(
         points.withColumn("place", F.row_number().over(same))
         .where(F.col("place") <= k + 1)
         .drop("place")
+        .persist()
     )
     return _search(kept, k, block_rows).unionByName(_beyond(points, kept, k))
 
