@@ -17,6 +17,7 @@ import base64
 import heapq
 import json
 import unicodedata
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -142,7 +143,11 @@ class Ranks:
             lens[i + 1] = len(b)
         self.token_at = np.cumsum(lens)
         self.token_bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(size)), np.uint8)
-        self.cache: dict[bytes, bytes] = {}
+        pair = np.arange(65536)
+        self.first_ranks = self.lookup(self.byte_id[pair >> 8], self.byte_id[pair & 255])
+        # remembered slices: their number, and where the ids of a number are
+        self.cache: dict[bytes, int] = {}
+        self.flat, self.start, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -196,49 +201,47 @@ class Ranks:
                 break
         return out
 
-    def merge_block(self, block: np.ndarray) -> list[bytes]:
-        """Ids of slices of one length, a row of bytes each; lowest rank first, leftmost on ties."""
+    def merge_block(self, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, number per slice) of slices of one length, a row of bytes each.
+
+        Lowest rank first, leftmost on ties.
+        """
         n, width = block.shape
         ids = self.byte_id[block]
-        done: list = [b""] * n
-        rows = np.arange(n)
+        rows, ended = np.arange(n), []
         rank = np.full((n, width), NONE, np.int32)
-        if width > 1:
-            rank[:, :-1] = self.lookup(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, -1)
-        size = width
-        while True:
+        rank[:, :-1] = self.first_ranks[block[:, :-1].astype(np.int64) << 8 | block[:, 1:]]
+        for size in range(width, 0, -1):  # every row left merges one pair, so all stay equally long
             best = rank.argmin(1)
             every = np.arange(len(rows))
             low = rank[every, best]
-            over = low == NONE
-            if over.any():
-                ended = ids[over][:, :size].astype("<u4")
-                for r, row in zip(rows[over].tolist(), ended, strict=True):
-                    done[r] = row.tobytes()
-                keep = ~over
-                rows, ids, rank, best, low = rows[keep], ids[keep], rank[keep], best[keep], low[keep]
+            go = low != NONE
+            if not go.all():
+                ended.append((rows[~go], ids[~go]))
+                rows, ids, rank, best, low = rows[go], ids[go], rank[go], best[go], low[go]
                 every = np.arange(len(rows))
             if not len(rows):
-                return done
-            # every row left merges one pair, so all rows stay equally long
-            columns = np.arange(size - 1)
-            source = columns + (columns > best[:, None])
-            ids = np.take_along_axis(ids, source, 1)
+                break
+            stay = np.ones((len(rows), size), bool)
+            stay[every, best] = False
+            rank = rank[stay].reshape(len(rows), size - 1)
+            stay[every, best], stay[every, best + 1] = True, False
             ids[every, best] = self.made[low]
-            shifted = columns + (columns >= best[:, None])
-            rank = np.take_along_axis(rank, shifted, 1)
-            size -= 1
+            ids = ids[stay].reshape(len(rows), size - 1)
             rank[:, -1] = NONE
-            right = best < size - 1
-            if right.any():
-                r, b = every[right], best[right]
-                rank[r, b] = self.lookup(ids[r, b], ids[r, b + 1])
-            left = best > 0
-            if left.any():
-                r, b = every[left], best[left]
-                rank[r, b - 1] = self.lookup(ids[r, b - 1], ids[r, b])
-
-    def merge_long(self, piece: bytes) -> bytes:
+            right, left = np.flatnonzero(best < size - 2), np.flatnonzero(best > 0)
+            r, b = np.concatenate([right, left]), np.concatenate([best[right], best[left] - 1])
+            rank[r, b] = self.lookup(ids[r, b], ids[r, b + 1])
+        counts = np.zeros(n, np.int64)
+        for at, made in ended:
+            counts[at] = made.shape[1]
+        start = np.cumsum(counts) - counts
+        flat = np.zeros(int(counts.sum()), np.uint32)
+        for at, made in ended:
+            flat[start[at][:, None] + np.arange(made.shape[1])] = made
+        return flat, counts
+
+    def merge_long(self, piece: bytes) -> np.ndarray:
         """Ids of one long slice: linked list and heap, n log n."""
         ids = self.byte_id[np.frombuffer(piece, np.uint8)]
         n = len(ids)
@@ -265,28 +268,41 @@ class Ranks:
                     heapq.heappush(heap, (x, i))
             if (h := before[i]) >= 0 and (x := rank_of(h, i)) != NONE:
                 heapq.heappush(heap, (x, h))
-        return np.array([v for v, a in zip(ids, alive, strict=True) if a], "<u4").tobytes()
-
-    def merged(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids (little-endian 32-bit) of every slice, from the cache where it is known."""
-        out = [self.cache.get(p) for p in pieces]
-        missing: dict[int, list[int]] = {}
-        for k, (p, known) in enumerate(zip(pieces, out, strict=True)):
-            if known is None:
-                missing.setdefault(len(p), []).append(k)
-        room = CACHE - len(self.cache)
-        for length, at in missing.items():
-            if length > LONG:
-                made = [self.merge_long(pieces[k]) for k in at]
+        return np.array([v for v, a in zip(ids, alive, strict=True) if a], np.uint32)
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, count) of every slice; known slices come from the cache."""
+        number = np.fromiter(map(self.cache.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(number < 0)
+        length = np.fromiter((len(pieces[k]) for k in missing.tolist()), np.int64, len(missing))
+        missing = missing[np.argsort(length, kind="stable")]
+        length.sort()
+        mine = [pieces[k] for k in missing.tolist()]
+        flats, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        edges = np.flatnonzero(np.diff(length, prepend=-1, append=-1)).tolist()
+        for a, b in zip(edges, edges[1:], strict=False):
+            if length[a] > LONG:
+                made = [self.merge_long(p) for p in mine[a:b]]
+                flats += made
+                counts.append(np.array([len(m) for m in made], np.int64))
             else:
-                block = np.frombuffer(b"".join(pieces[k] for k in at), np.uint8)
-                made = self.merge_block(block.reshape(len(at), length))
-            for k, ids in zip(at, made, strict=True):
-                out[k] = ids
-            if length <= LONG and room > 0:
-                self.cache.update((pieces[k], out[k]) for k in at[:room])
-                room -= len(at)
-        return out
+                block = np.frombuffer(b"".join(mine[a:b]), np.uint8).reshape(b - a, -1)
+                flat, count = self.merge_block(block)
+                flats.append(flat)
+                counts.append(count)
+        flat, count = np.concatenate(flats), np.concatenate(counts)
+        start = len(self.flat) + np.cumsum(count) - count
+        number[missing] = len(self.start) + np.arange(len(missing))
+        every = tuple(np.concatenate(x) for x in ((self.flat, flat), (self.start, start), (self.count, count)))
+        room = min(CACHE - len(self.start), int(np.searchsorted(length, LONG, "right")))
+        if room > 0:
+            self.cache.update(zip(mine[:room], number[missing[:room]].tolist(), strict=True))
+            ids = int(count[:room].sum())
+            self.flat, self.start, self.count = (
+                x[: len(old) + n].copy()
+                for x, old, n in zip(every, (self.flat, self.start, self.count), (ids, room, room), strict=True)
+            )
+        return every[0], every[1][number], every[2][number]
 
 
 def _chunks(texts: list[str]):
@@ -327,11 +343,9 @@ def _encode(texts: list[str], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     begin = byte_at[real]
     end = np.append(byte_at, len(raw))[1:][real]
     codes, pieces = distinct_slices(raw, begin, end)
-    made = ranks.merged(pieces)
-    sizes = np.array([len(m) // 4 for m in made], np.int64)
-    flat = np.frombuffer(b"".join(made), "<u4")
+    flat, first, sizes = ranks.merged(pieces)
     counts = sizes[codes]
-    ids = gather(flat, (np.cumsum(sizes) - sizes)[codes], counts)
+    ids = gather(flat, first[codes], counts)
     # slices before each break, hence ids before it
     upto = np.cumsum(real)[np.searchsorted(bounds, breaks)]
     ids_upto = np.append(0, np.cumsum(counts))[upto]

@@ -30,6 +30,7 @@ COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 BLOCK = 8192
 PAGE_CHARS = 400_000
+BROADCAST_ROWS = 200_000
 ESCAPE_SHARE = 1 / 128  # ids escaped at most, as a share of a block
 PAGES = (
     "part long, page long, doc_ids array<{kind}>, counts array<long>, n long, "
@@ -157,7 +158,8 @@ def read_tokens(spark, path: str) -> DataFrame:
     before = Window.partitionBy("part").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     heads = heads.withColumn("inside", F.coalesce(F.sum("n").over(before), F.lit(0))).join(base, "part")
     first = heads.select("part", "page", (F.col("inside") + F.col("base")).alias("first"))
-    rows = pages.join(first, ["part", "page"])
+    few = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # else pages are shuffled
+    rows = pages.join(F.broadcast(first) if few else first, ["part", "page"])
     kind = pages.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
