@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanewatch.llm import packing, quality_rules, quality_svm, simhash
+from wanewatch.llm import packing, quality_rules, quality_svm, simhash, suffix_dedup
 from wanewatch.llm.common import read, stored
 
 
@@ -22,7 +22,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good."""
-    model = quality_svm.train(docs, read(spark, sf_dir, "labels"))
+    model = quality_svm.train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     scored = quality_svm.score(docs.withColumn("__row", F.struct(*docs.columns)), model, ["__row"])
     return scored.filter(F.col("score") >= quality_svm.THRESHOLD).select("__row.*")
 
@@ -32,6 +32,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_per_group(docs)
 
 
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 100 bytes that an earlier place has too."""
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = suffix_dedup.remove_repeats(docs, rest, as_text=True)
+    return cut.select(*rest, F.col("kept").alias("text"), F.length("kept").cast("long").alias("n_chars")).select(*docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 2048 tokens."""
     return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
@@ -41,6 +48,7 @@ STAGES = [
     ("quality_rules", rules),
     ("quality_classifier", classifier),
     ("near_copies", near_copies),
+    ("suffix_dedup", repeats),
     ("packing", packed),
 ]
 # No SQL: tokens, models and fingerprints are beyond it; tests compare with brute force.

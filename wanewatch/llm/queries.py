@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wanewatch.llm import (
+    maxent,
     neighbours,
     packing,
     quality_rules,
     quality_svm,
     sharding,
     simhash,
+    suffix_dedup,
     token_files,
     tokens,
 )
@@ -59,6 +61,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to repeats of 100 bytes, and the digest of what is left."""
+    rows = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_quality_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; ids with crc32 divisible by 5 are never learnt from."""
@@ -106,3 +118,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; ids with crc32 mod 7 = 2 are not learnt from."""
+    return maxent.score(read(spark, sf_dir, "documents"), held=(7, 2))

@@ -336,8 +336,13 @@ def merge_runs(runs, size: int) -> np.ndarray:
     return np.stack([pairs[at, 0], reach[np.append(at[1:], len(pairs)) - 1]], 1) if len(at) else pairs
 
 
-def remove_repeats(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``keep`` columns, ``kept``, ``n_bytes``, ``n_removed``, ``spans`` of every row."""
+def remove_repeats(
+    df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text", as_text: bool = False
+) -> DataFrame:
+    """``keep`` columns, ``kept``, ``n_bytes``, ``n_removed``, ``spans`` of every row.
+
+    ``as_text`` returns ``kept`` as a string; what a cut leaves of a character is dropped.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     place = [
         F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST)).alias("pos"),
@@ -359,7 +364,7 @@ def remove_repeats(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
     rows = rows.select(*keep, F.col("__text"), F.col("runs").alias("__runs"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [rows.schema[c] for c in keep] + [
-        T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()),
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("n_bytes", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("spans", span),
     ]
 
@@ -379,6 +384,8 @@ def remove_repeats(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text:
                 size.append(len(body))
                 gone.append(len(body) - len(kept[-1]))
                 spans.append([{"start": a, "stop": b} for a, b in edges])
+            if as_text:
+                kept = [k.decode("utf-8", "ignore") for k in kept]
             yield out.assign(kept=kept, n_bytes=size, n_removed=gone, spans=spans)
 
     return rows.mapInPandas(cut, T.StructType(fields))
