@@ -45,7 +45,7 @@ HALF = REACH // 2
 HOT = 2000  # occurrences of a key beyond which it is refined
 LOCAL_HOT = 64  # occurrences within one task that mark a key as hot at once
 BATCH_BYTES = 1_000_000
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 24 << 20
 TOP = np.uint64(2**64 - 1)
 FIRST = -(1 << 63)
 
@@ -237,10 +237,10 @@ def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=["w1", "w2", "pos", "tag", "start"])
 
 
-def _sized(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted rows stay within the bound."""
-    most = BROADCAST_BYTES // row_bytes
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def _sized(df: DataFrame, row_bytes) -> DataFrame:
+    """``df`` marked for broadcast if the sum of ``row_bytes`` over its rows stays in the bound."""
+    total = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def removed_runs(docs: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def removed_runs(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"key": key[count >= LOCAL_HOT]})
 
     hot_keys = stored(found.select("key").mapInPandas(frequent, "key long").distinct(), "lpf-hot-keys")
-    hot = _sized(hot_keys, 16)
+    hot = _sized(hot_keys, F.lit(16))
     usual = found.join(hot, "key", "left_anti").repartition("key").mapInPandas(recurring, f"key long, {PLACE}, n long")
     often = found.join(hot, "key").select("key", "pos", "tag", "at", F.lit(HOT + 1).cast("long").alias("n"))
     again = usual.select("key", "pos", "tag", "at", "n").union(often)
@@ -283,33 +283,37 @@ def removed_runs(docs: DataFrame) -> DataFrame:
                     at, end = m["at"], m["at"] + SEED
                     before, after = body[max(0, at - REACH) : at][::-1], body[end : end + REACH]
                     if len(before) + len(after) >= REACH:
-                        out.append((m["key"], 0, REACH, pos, tag, at, before, after, m["n"] > HOT, body[at:end]))
+                        hot, c1, c2 = m["n"] > HOT, 0, 0
+                        if hot:
+                            d = xxhash.xxh3_128_intdigest(body[at - len(before) : end + len(after)], len(before))
+                            c1, c2 = (d >> 64) - (1 << 63), (d & (2**64 - 1)) - (1 << 63)
+                        out.append((m["key"], 0, REACH, pos, tag, at, before, after, hot, body[at:end], c1, c2))
                 if len(out) > 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    names = [c.split()[0] for c in CONTEXT.split(", ")] + ["hot", "seed"]
-    marks = _sized(by_doc, 400)
+    names = [c.split()[0] for c in CONTEXT.split(", ")] + ["hot", "seed", "c1", "c2"]
+    marks = _sized(by_doc, 64 + 48 * F.size("marks"))
     placed = docs.select("pos", "tag", "text").join(marks, ["pos", "tag"])
-    rows = stored(placed.mapInPandas(contexts, f"{CONTEXT}, hot boolean, seed binary"), "lpf-contexts")
+    rows = stored(placed.mapInPandas(contexts, f"{CONTEXT}, hot boolean, seed binary, c1 long, c2 long"), "lpf-contexts")
     columns = [c.split()[0] for c in CONTEXT.split(", ")]
     run = "pos long, tag long, start long, stop long"
     runs = rows.filter("not hot").select(*columns).repartition("key").mapInPandas(settle, run)
-    # hot seeds: of equal contexts only the first can be new; refine what is left
+    # hot seeds: of equal contexts, known by 128 bits, only the first can be new; refine those
     shared = rows.filter("hot")
-    first = shared.groupBy("key", "before", "after").agg(F.min(F.struct("pos", "at")).alias("first"))
-    shared = shared.join(first, ["key", "before", "after"])
-    is_first = (F.col("first.pos") == F.col("pos")) & (F.col("first.at") == F.col("at"))
-    runs = runs.union(
-        shared.filter(~is_first).select(
-            "pos", "tag", (F.col("at") - F.length("before")).cast("long"),
-            (F.col("at") + SEED + F.length("after")).cast("long"),
-        )
+    first = stored(
+        shared.groupBy("c1", "c2").agg(F.min(F.struct("pos", "at", "tag", *columns[:3], "before", "after", "seed")).alias("f"))
+        .select("c1", "c2", "f.*"),
+        "lpf-first",
     )
-    finer = stored(
-        shared.filter(is_first).select(*columns, "seed").mapInPandas(refine, f"{CONTEXT}, seed binary"), "lpf-finer"
-    )
+    heads = first.select("c1", "c2", F.col("pos").alias("first_pos"), F.col("at").alias("first_at"))
+    copies = shared.select(
+        "c1", "c2", "pos", "tag", "at", (F.col("at") - F.length("before")).cast("long").alias("start"),
+        (F.col("at") + SEED + F.length("after")).cast("long").alias("stop"),
+    ).join(heads, ["c1", "c2"]).filter("pos > first_pos or at > first_at")
+    runs = runs.union(copies.select("pos", "tag", "start", "stop"))
+    finer = stored(first.select(*columns, "seed").mapInPandas(refine, f"{CONTEXT}, seed binary"), "lpf-finer")
     sizes = finer.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     finer = finer.join(sizes, "key")
     runs = runs.union(
@@ -323,7 +327,14 @@ def removed_runs(docs: DataFrame) -> DataFrame:
         (F.col("pos") > F.col("first.pos")) | ((F.col("pos") == F.col("first.pos")) & (F.col("start") > F.col("first.start")))
     )
     runs = runs.union(later.select("pos", "tag", "start", F.col("start") + SPAN))
-    return runs.groupBy("pos", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            joined = [[{"start": a, "stop": b} for a, b in merge_runs(r, 1 << 62).tolist()] for r in batch["runs"]]
+            yield batch.assign(runs=joined)
+
+    by_doc = runs.groupBy("pos", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("runs"))
+    return by_doc.mapInPandas(merge, "pos long, tag long, runs array<struct<start:long,stop:long>>")
 
 
 def merge_runs(runs, size: int) -> np.ndarray:
@@ -356,10 +367,10 @@ def remove_repeats(
         small.join(first, ["tag", "tag2"]).filter("pos > first").select("pos", "tag").distinct(), "lpf-copies"
     )
     docs = source.select(*place, body.alias("text"))
-    fresh = docs.filter(F.octet_length("text") >= SPAN).join(_sized(copies, 24), ["pos", "tag"], "left_anti")
+    fresh = docs.filter(F.octet_length("text") >= SPAN).join(_sized(copies, F.lit(24)), ["pos", "tag"], "left_anti")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 62).alias("stop")))
     runs = removed_runs(fresh).union(copies.select("pos", "tag", whole.alias("runs")))
-    runs = _sized(stored(runs, "lpf-runs"), 200)
+    runs = _sized(stored(runs, "lpf-runs"), 64 + 48 * F.size("runs"))
     rows = source.select(*keep, *place, body.alias("__text")).join(runs, ["pos", "tag"], "left")
     rows = rows.select(*keep, F.col("__text"), F.col("runs").alias("__runs"))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
