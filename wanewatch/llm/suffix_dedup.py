@@ -42,7 +42,7 @@ SPAN, SEED = 100, 32
 WINDOW = SPAN - SEED + 1
 REACH = SPAN - SEED  # bytes a window can hold on either side of the seed
 HALF = REACH // 2
-HOT = 2000  # occurrences of a key beyond which it is refined
+HOT = 10_000  # occurrences of a key (about 3 MB of context) beyond which it is refined
 LOCAL_HOT = 64  # occurrences within one task that mark a key as hot at once
 BATCH_BYTES = 1_000_000
 BROADCAST_BYTES = 24 << 20
