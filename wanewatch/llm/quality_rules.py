@@ -37,11 +37,11 @@ CHARS = (3, 5)
 SCALE = 30.0  # relative frequencies are small; the penalty is meant for numbers near one
 PENALTY = 1e-3
 KEEP = 0.3  # least chance of good quality
-MOST = 4000  # labelled rows used
+MOST = 2000  # labelled rows used
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 VERDICT = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
            ("n_repeat_words", "long"), ("base_failed", "boolean"), ("chance", "double"), ("kept", "boolean")]
 
@@ -60,7 +60,8 @@ def sparse_rows(texts: list[bytes]):
             doc_of = key >> BITS
             total = np.bincount(doc_of, count, minlength=b - a)
             value = SCALE * count / total[doc_of]
-            parts.append((doc_of + a, (key & ((1 << BITS) - 1)) + (k << BITS), value.astype(np.float32)))
+            bucket = (key & ((1 << BITS) - 1)) + (k << BITS)
+            parts.append(((doc_of + a).astype(np.int32), bucket.astype(np.int32), value.astype(np.float32)))
     return tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
 
 
@@ -68,7 +69,10 @@ def fit(texts: list[bytes], y: np.ndarray, rounds: int = 80) -> tuple[np.ndarray
     """(weights, bias) of the penalised logistic loss, by limited-memory quasi-Newton steps."""
     row, col, value = sparse_rows(texts)
     size = (2 + len(CHARS)) << BITS
-    used, col = np.unique(col, return_inverse=True)
+    used = np.flatnonzero(np.bincount(col, minlength=size))
+    place = np.zeros(size, np.int32)
+    place[used] = np.arange(len(used))
+    col = place[col]
 
     def loss(theta):
         margin = np.bincount(row, value * theta[:-1][col], minlength=len(y)) + theta[-1]
