@@ -391,11 +391,11 @@ def benchmark_summary(spark, folder):
 @query(
     on_long(
         """SELECT model AS recommended_model, test_accuracy AS accuracy, test_f1 AS f1, test_roc_auc AS roc_auc, train_seconds,
-  inference_ms_per_row, CASE WHEN inference_ms_per_row < 1 THEN 'Low latency: suitable for real-time inference'
-    WHEN inference_ms_per_row < 10 THEN 'Moderate latency: consider caching for high-traffic scenarios'
-    ELSE 'High latency: consider model distillation or simpler models' END
-  || CASE WHEN model LIKE '%Ensemble%' THEN '; Ensemble model: requires multiple model inference calls'
-    || '; Consider model distillation to a single model for production' ELSE '' END AS recommendations
+  inference_ms_per_row, CASE WHEN inference_ms_per_row < 1 THEN 'serve_online'
+    WHEN inference_ms_per_row < 10 THEN 'serve_with_cache'
+    ELSE 'serve_in_batches' END
+  || CASE WHEN model LIKE '%Ensemble%' THEN '; several_models_per_row'
+    || '; fit_one_model_to_its_scores' ELSE '' END AS recommendations
 FROM bench ORDER BY test_accuracy DESC, model LIMIT 1""",
         *ON_BENCH,
     )

@@ -119,8 +119,11 @@ def cross(a: str, b: str) -> Column:
 
 
 def positive(p: Column | str, threshold: float = 0.5, inclusive: bool = False) -> Column:
-    """Class of a probability: strictly above the threshold unless ``inclusive``."""
-    p = F.col(p) if isinstance(p, str) else p
+    """Class of a probability: strictly above the threshold unless ``inclusive``.
+
+    A probability that is not a number has no class.
+    """
+    p = nan_to_null(p)
     return ((p >= threshold) if inclusive else (p > threshold)).cast("int")
 
 

@@ -53,7 +53,8 @@ def metrics(
     if not by:
         counted, areas = counted.withColumn("_g", F.lit(1)), areas.withColumn("_g", F.lit(1))
         return counted.join(areas, "_g").drop("_g")
-    return lookup_join(counted, areas, by, "left")
+    joined = lookup_join(counted, areas, by, "left")
+    return joined.withColumn("roc_auc", F.coalesce("roc_auc", F.lit(0.0)))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:

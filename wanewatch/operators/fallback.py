@@ -12,12 +12,12 @@ from wanewatch.functions import rules, scalars
 
 CONFIDENCE = 0.3
 ULTIMATE = "ultimate_fallback"
-# Reasons a result may carry; the ladder itself gives the first two.
+# Reasons a result may carry; the ladder itself gives model_error and low_confidence.
 REASONS = [
-    "low_confidence",
     "model_error",
     "timeout",
     "invalid_input",
+    "low_confidence",
     "drift_detected",
     "resource_exhausted",
 ]

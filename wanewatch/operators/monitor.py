@@ -129,13 +129,14 @@ def drift(
 
     Both inputs are moments (one row per feature). Fewer than 100 current rows: no verdict.
     """
-    shift, spread = F.avg("mean_shift"), F.avg("std_ratio")
+    moved = scalars.nan_to_null("mean_shift")
+    shift, spread = F.avg(moved), F.avg(scalars.nan_to_null("std_ratio"))
     row = drift_by_feature(current, reference).agg(
         F.coalesce(F.max("n"), F.lit(0)).alias("samples"),
         (shift + F.abs(spread - 1)).alias("drift_score"),
         shift.alias("mean_shift_avg"),
         spread.alias("std_ratio_avg"),
-        F.count_if(F.col("mean_shift") > threshold).alias("features_drifted"),
+        F.count_if(moved > threshold).alias("features_drifted"),
     )
     enough = F.col("samples") >= DRIFT_MIN_ROWS
     return row.select(
@@ -162,7 +163,7 @@ def alerts(
     a baseline, or with a baseline of zero, never alert.
     """
     base = baseline.select("metric", F.col("value").alias("baseline"))
-    fall = F.try_divide(F.col("baseline") - F.col("value"), F.col("baseline"))
+    fall = scalars.nan_to_null(F.try_divide(F.col("baseline") - F.col("value"), F.col("baseline")))
     return (
         metrics.join(base, "metric")
         .withColumn("fall", fall)

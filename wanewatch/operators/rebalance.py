@@ -122,11 +122,13 @@ def adasyn(
     total = around.agg(F.sum("hardness")).first()[0]
     if sizes[rare] < 2 or not total:
         return smote(df, key, label, vector, k=k, seed=seed)
+    quota = around.withColumn(
+        "copies", F.bround(F.col("hardness") / F.lit(total) * missing).cast("int")
+    ).where(F.col("copies") > 0)
+    if quota.isEmpty():  # every share rounds to nothing
+        return smote(df, key, label, vector, k=k, seed=seed)
     quota = (
-        around.withColumn(
-            "copies", F.round(F.col("hardness") / F.lit(total) * missing).cast("int")
-        )
-        .where(F.col("copies") > 0)
+        quota
         .join(minority.select(F.col(key).alias("id"), F.col(label).alias("label")), "id")
     )
     near = nearest(minority, key, vector, k)

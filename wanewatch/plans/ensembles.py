@@ -6,6 +6,9 @@ positional or keyed join is needed.
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -21,8 +24,8 @@ from wanewatch.plans import presets
 from wanewatch.plans.trainer import evaluate, fit, metric_table, out_of_fold, with_probability
 from wanewatch.sources.model_store import load_model, load_state, save_model, save_state
 
-# Cumulative probability of at most j events, Poisson with mean one.
-POISSON_ONE = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582]
+# Cumulative probability of at most j events, Poisson with mean one, as far as doubles tell it from 1.
+POISSON_ONE = list(accumulate(math.exp(-1) / math.factorial(j) for j in range(17)))
 
 
 class Ensemble:

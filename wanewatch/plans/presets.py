@@ -35,7 +35,7 @@ DEFAULTS = {
     "random_forest": {"trees": 100, "depth": 10, "min_leaf": 3},
     "gradient_boosting": {"trees": 100, "depth": 5, "rate": 0.1},
     "logistic_regression": {"c": 1.0, "rounds": 1000},
-    "adaboost": {"trees": 20, "rate": 0.1},
+    "adaboost": {"trees": 100, "rate": 0.1},
 }
 # Presets of the four-model ensemble.
 ENSEMBLE = {
@@ -148,9 +148,9 @@ class Samme(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     rate = Param(Params._dummy(), "rate", "learning rate", typeConverter=TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, rounds: int = 20, rate: float = 0.1):
+    def __init__(self, *, rounds: int = 100, rate: float = 0.1):
         super().__init__()
-        self._setDefault(rounds=20, rate=0.1)
+        self._setDefault(rounds=100, rate=0.1)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
