@@ -37,7 +37,7 @@ START = 8
 ROW = 256  # characters per row of the scan
 LONG = 32  # bytes; longer slices are merged with a heap
 CACHE = 200_000  # slices remembered per worker and vocabulary
-CHUNK = 2_000_000  # characters encoded at once, unless one text is longer
+CHUNK = 1_000_000  # characters encoded at once, unless one text is longer
 NONE = np.int32(2**31 - 1)
 
 

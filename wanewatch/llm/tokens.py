@@ -23,7 +23,7 @@ from wanewatch.llm.common import bounded_groups, kept, spread, text_list
 
 GPT_FILE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-BATCH_CHARS = 4_000_000  # characters of texts encoded before rows are handed on
+BATCH_CHARS = 1_000_000  # characters of texts encoded before rows are handed on
 
 
 def vocabulary(spark, path: str):
