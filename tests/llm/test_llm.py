@@ -260,3 +260,13 @@ def test_pipeline_stages(spark, docs):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert made.columns == docs.columns and 0 < made.count() <= before.count()
     assert made.agg({"length": "sum"}).first()[0] > 0
+
+
+def test_one_row_of_a_repeated_id(spark):
+    """The smallest text of an id stays, whatever order the rows come in; null ids all stay."""
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)]
+    rows = [(3, words[2], "b"), (3, words[1], "c"), (3, words[1], "c"), (5, words[3], "d"), (None, words[0], "e"), (None, None, "f")]
+    for turn in range(3):
+        df = spark.createDataFrame(rows[turn:] + rows[:turn], "doc_id long, text string, __n string")
+        got = sorted(map(tuple, simhash.one_per_group(df).collect()), key=str)
+        assert got == sorted([(3, words[1], "c"), (5, words[3], "d"), (None, words[0], "e"), (None, None, "f")], key=str)

@@ -26,6 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wanewatch.llm.common import bounded_groups, components, spread, stored, text_bytes
 from wanewatch.llm.words import words_of
@@ -200,8 +201,14 @@ def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     gone = near_duplicates(df, doc_id, text).filter(F.col("doc_id") != F.col("component_id"))
     ids = gone.select(F.col("doc_id").alias("__gone")).distinct()
     rest = df.join(ids, F.col(doc_id) == F.col("__gone"), "left_anti")
-    # an id that repeats keeps its smallest text
-    repeated = rest.groupBy(doc_id).agg(F.count("*").alias("n")).filter(f"n > 1 and {doc_id} is not null")
-    if repeated.isEmpty():
+    # an id that repeats keeps its smallest text, of equal ones the smallest row hash
+    again = rest.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__again"))
+    again = again.agg(F.count("*").alias("__n")).filter("__n > 1").select("__again")
+    if again.isEmpty():
         return rest
-    return rest.filter(F.col(doc_id).isNull()).union(rest.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
+    same = F.col(doc_id) == F.col("__again")
+    plain = [f.name for f in rest.schema if not isinstance(f.dataType, T.MapType)]
+    order = F.struct(F.col(text), F.xxhash64(*plain))
+    chosen = rest.join(again, same, "left_semi").groupBy(doc_id)
+    chosen = chosen.agg(F.min_by(F.struct(*rest.columns), order).alias("__row")).select("__row.*")
+    return rest.join(again, same, "left_anti").union(chosen)
