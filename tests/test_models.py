@@ -25,6 +25,21 @@ def test_ensemble_interface(classified, kind):
     assert 0.7 < model.score(classified) <= 1
 
 
+@pytest.mark.parametrize("name", ["logistic_regression", "adaboost"])
+def test_bags_of_estimators_of_our_own(classified, name):
+    model = ensembles.Bagging(presets.make(name, SMALL), bags=2).fit(classified)
+    assert 0.7 < model.score(classified) <= 1
+    assert len(model.fitted) == 2
+
+
+def test_scores_that_are_all_missing(classified):
+    empty = classified.withColumn("p", F.lit(None).cast("double"))
+    assert trainer.evaluate(empty, "p")["roc_auc"] == 0
+    holes = classified.withColumn("p", F.lit(float("nan")))
+    found = trainer.evaluate(holes, "p")
+    assert (found["tp"], found["fp"], found["roc_auc"]) == (0, 0, 0)
+
+
 def test_unknown_names_raise(classified):
     with pytest.raises(ValueError):
         ensembles.EnsembleModel("invalid").fit(classified)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from wanewatch.functions import rules, scalars
 from wanewatch.operators import fallback, monitor, ranking, weights
+from wanewatch.plans.preprocess import FeatureSpec, feature_table, fit_preprocessor
 from wanewatch.session import lookup_join
 from wanewatch.sources import files
 from wanewatch.sources.tracking import Registry, RunLog
@@ -117,6 +118,31 @@ def test_drift(spark):
     assert watch.drift_history().count() == 3
 
 
+def test_values_that_are_not_numbers(spark):
+    """One such value is left out; it is neither drift nor an alert."""
+    df = normal(spark, 1000, 0, 1, 1)
+    hole = df.limit(1).withColumn("f0", F.lit(float("nan")))
+    stats = {f: F.col(f) for f in FEATURES}
+    plain = {r["feature"]: r["mean"] for r in monitor.moments(df, stats).collect()}
+    mixed = {r["feature"]: r["mean"] for r in monitor.moments(df.unionByName(hole), stats).collect()}
+    assert mixed["f0"] == pytest.approx(plain["f0"], abs=1e-9)
+    verdict = monitor.drift(monitor.moments(df.unionByName(hole), stats), monitor.moments(df, stats))
+    assert not verdict.first()["drift_detected"]
+    watched = monitor.reference_stats(df.unionByName(hole), FEATURES)
+    assert all(r["p75"] < 10 for r in watched.collect())
+    nothing = long(spark, accuracy=float("nan"))
+    assert monitor.alerts(nothing, long(spark, accuracy=0.9)).count() == 0
+
+
+def test_one_hot_beyond_a_thousand_values(spark):
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("customerID"), (F.col("id") % 1500).cast("string").alias("city"),
+        F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"),
+    )
+    rows = feature_table(df, fit_preprocessor(df, FeatureSpec(["x"], ["city"])), "customerID", "label")
+    assert rows.first()["features"].size > 1500 and rows.count() == 3000
+
+
 def long(spark, **values):
     return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "metric string, value double")
 

@@ -403,7 +403,18 @@ def smote(spark, folder):
     ).withColumn("value", r6("value"))
 
 
-@query()
+@query(
+    f"""WITH {POINTS}, {NEAR.format(on='')},
+hard AS (
+  SELECT n.id, avg(CAST(b.label <> 3 AS INTEGER)) AS h FROM near n
+    JOIN points a ON a.vec_id = n.id JOIN points b ON b.vec_id = n.neighbor WHERE a.label = 3 GROUP BY 1),
+quota AS (
+  SELECT id, CAST(round_even(h / (SELECT sum(h) FROM hard) *
+    (SELECT sum(CASE WHEN label = 3 THEN -1 ELSE 1 END) FROM points), 0) AS BIGINT) AS copies FROM hard)
+SELECT CAST(label = 3 AS INTEGER) AS rare, 0 AS copy, count(*) AS n FROM points GROUP BY 1
+UNION ALL SELECT 1, CAST(copy AS INTEGER), count(*)
+FROM (SELECT unnest(generate_series(1, copies)) AS copy FROM quota WHERE copies > 0) GROUP BY 2"""
+)
 def adasyn(spark, folder):
     """One class against the rest, harder rows produce more."""
     df = table(spark, folder, "embeddings").withColumn("rare", (F.col("label") == 3).cast("int"))

@@ -212,6 +212,50 @@ def drift_window(spark, folder):
     return _shown_drift(watch.detect_drift(events, ["ts", "event_id"]))
 
 
+@query(_drift_sql(_value_stats("value", "event_id % 7 <> 0"), _value_stats("value"), ""))
+def drift_nan(spark, folder):
+    """Every seventh value is not a number: left out, so no drift comes of it."""
+    events = table(spark, folder, "events")
+    holes = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return _shown_drift(
+        monitor.drift(
+            monitor.moments(events, {"value": holes}),
+            monitor.moments(events, {"value": F.col("value")}),
+        )
+    )
+
+
+def _newest_stats(expr: str) -> str:
+    return f"""SELECT 'value' AS feature, avg({expr}) AS m, stddev_pop({expr}) AS s FROM
+  (SELECT value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000)"""
+
+
+@query(
+    _drift_sql(_newest_stats("value"), _value_stats("value"), "")
+    + " UNION ALL "
+    + _drift_sql(_newest_stats("value * 3"), _value_stats("value"), "")
+)
+def drift_history(spark, folder):
+    """What a monitor keeps of two checks, one without and one with drift."""
+    events = table(spark, folder, "events").select("event_id", "ts", "value")
+    watch = monitor.Monitor("events", ["value"])
+    watch.set_reference(events)
+    watch.detect_drift(events, ["ts", "event_id"])
+    watch.detect_drift(events.withColumn("value", F.col("value") * 3), ["ts", "event_id"])
+    return _shown_drift(watch.drift_history())
+
+
+@query(
+    """SELECT event_type, count(*) AS n, count(DISTINCT (user_id, value)) AS marks FROM events GROUP BY 1"""
+)
+def row_marks(spark, folder):
+    """The log's row hash: as many hashes as there are different feature rows."""
+    log = _log(spark, folder).withColumn("event_type", F.col("metadata")["event_type"])
+    return log.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.countDistinct("features_hash").alias("marks")
+    )
+
+
 DAILY = """
 daily AS (
   SELECT strftime(ts, '%Y-%m-%d') AS day, avg(value) AS value_mean,
@@ -261,6 +305,48 @@ def high_alerts(spark, folder):
     return monitor.alerts_of(monitor.alerts(daily, base, keep=["day"]), "HIGH").select("day", "metric")
 
 
+@query(
+    f"""WITH {DAILY} SELECT day, metric, CASE WHEN fall > 0.1::DOUBLE THEN 'HIGH' ELSE 'MEDIUM' END AS severity
+FROM alert WHERE metric <> 'ok_rate'"""
+)
+def alert_nan(spark, folder):
+    """A metric that is not a number raises no alert; the others do as before."""
+    daily, base = _daily(spark, folder)
+    rate = F.col("metric") == "ok_rate"
+    daily = daily.withColumn("value", F.when(rate, F.lit(float("nan"))).otherwise(F.col("value")))
+    return monitor.alerts(daily, base, keep=["day"]).select("day", "metric", "severity")
+
+
+def _health_sql(model: str, drift: str | None) -> str:
+    found = f"(SELECT drift_detected FROM ({drift}))" if drift else "CAST(NULL AS BOOLEAN)"
+    return f"""SELECT '{model}' AS model_name, CASE WHEN high > 0 THEN 'CRITICAL' WHEN d THEN 'WARNING' ELSE 'HEALTHY' END AS status,
+  CASE WHEN d IS NULL THEN 'SKIPPED' WHEN d THEN 'DRIFT' ELSE 'NONE' END AS drift_status,
+  high AS high_severity_count, total AS total_alerts
+FROM (SELECT {found} AS d, count(*) FILTER (WHERE fall > 0.1::DOUBLE) AS high, count(*) AS total FROM mild)"""
+
+
+@query(
+    f"WITH {DAILY}, mild AS (SELECT * FROM alert WHERE fall <= 0.1::DOUBLE) "
+    + " UNION ALL ".join(
+        [
+            _health_sql("moved", _drift_sql(_value_stats("value * 2"), _value_stats("value"), "")),
+            _health_sql("still", _drift_sql(_value_stats("value"), _value_stats("value"), "")),
+            _health_sql("unwatched", None),
+        ]
+    )
+)
+def health_levels(spark, folder):
+    """Health with medium alerts only: with drift, without, and without a reference."""
+    events = table(spark, folder, "events")
+    daily, base = _daily(spark, folder)
+    mild = monitor.alerts_of(monitor.alerts(daily, base), "MEDIUM")
+    plain = monitor.moments(events, {"value": F.col("value")})
+    double = monitor.moments(events, {"value": F.col("value") * 2})
+    rows = monitor.health("moved", monitor.drift(double, plain), mild)
+    rows = rows.union(monitor.health("still", monitor.drift(plain, plain), mild))
+    return rows.union(monitor.health("unwatched", None, mild))
+
+
 @query(
     f"""WITH {DAILY} SELECT day, round(value_mean, 6) AS value_mean, round(ok_rate, 6) AS ok_rate FROM daily"""
 )

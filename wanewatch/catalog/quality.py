@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -162,6 +163,16 @@ def duplicate_rows(spark, folder):
     return cleaning.duplicate_count(lines)
 
 
+@query(
+    on_subs(
+        """SELECT (SELECT count(*) FROM subs) - (SELECT count(*) FROM (SELECT DISTINCT * FROM subs)) AS duplicate_rows"""
+    )
+)
+def duplicate_subscribers(spark, folder):
+    """Repeats of whole rows, all columns compared."""
+    return cleaning.duplicate_count(subscribers(spark, folder))
+
+
 @query("SELECT count(DISTINCT l_partkey) AS distinct_values FROM lineitem")
 def distinct_count(spark, folder):
     return cleaning.distinct_count(table(spark, folder, "lineitem"), "l_partkey")
@@ -334,6 +345,89 @@ def expectation_lineitem(spark, folder):
     )
 
 
+@dataclass
+class Positive(expectations.Check):
+    """A check of one's own: a share of the values is above zero."""
+
+    mostly: float = 1.0
+    title = "expect_column_values_to_be_positive"
+
+    def aggregates(self, df):
+        return {"above": F.count_if(F.col(self.column) > 0), "rows": F.count("*")}
+
+    def outcome(self, df, at):
+        share = F.coalesce(F.try_divide(at("above"), at("rows")), F.lit(0.0))
+        return share >= self.mostly, {"share": F.round(share, 6)}, F.lit("warning")
+
+
+@query(
+    """WITH there AS (SELECT column_name FROM (DESCRIBE SELECT * FROM lineitem))
+SELECT 1 AS check_id, 'expect_column_to_exist(l_tax)' AS check_name,
+  (SELECT count(*) FROM there WHERE column_name = 'l_tax') > 0 AS passed, 'error' AS severity, CAST(NULL AS DOUBLE) AS share
+UNION ALL SELECT 2, 'expect_column_to_exist(l_missing)',
+  (SELECT count(*) FROM there WHERE column_name = 'l_missing') > 0, 'error', NULL
+UNION ALL SELECT 3, 'expect_column_values_to_be_positive(l_quantity)', avg(CAST(l_quantity > 0 AS INTEGER)) >= 1,
+  'warning', round(avg(CAST(l_quantity > 0 AS INTEGER)), 6) FROM lineitem
+UNION ALL SELECT 4, 'expect_column_values_to_be_positive(l_tax)', avg(CAST(l_tax > 0 AS INTEGER)) >= 0.95,
+  'warning', round(avg(CAST(l_tax > 0 AS INTEGER)), 6) FROM lineitem"""
+)
+def expectation_own(spark, folder):
+    """Columns that are there or not, and a check of one's own that holds and one that fails."""
+    suite = expectations.Suite("lineitem")
+    for check in (
+        expectations.ColumnExists("l_tax"),
+        expectations.ColumnExists("l_missing"),
+        Positive("l_quantity"),
+        Positive("l_tax", mostly=0.95),
+    ):
+        suite.expect(check)
+    share = F.col("details")["share"].cast("double").alias("share")
+    results = suite.results(table(spark, folder, "lineitem"))
+    return results.select("check_id", "check_name", "passed", "severity", share)
+
+
+PROFILED = {
+    "none": ("SELECT o_orderkey FROM orders WHERE o_orderkey < 0", ["o_orderkey"]),
+    "repeated": ("SELECT l_returnflag, l_linestatus FROM lineitem", ["l_returnflag", "l_linestatus"]),
+    "holes": (
+        """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate END AS a,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS b FROM orders""",
+        ["o_orderkey", "a", "b"],
+    ),
+}
+
+
+def _profile_sql(name: str) -> str:
+    rows, cols = PROFILED[name]
+    blanks = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    return f"""SELECT '{name}' AS input, n AS row_count, {len(cols)} AS column_count, CAST(m AS BIGINT) AS missing_cells,
+  n - d AS duplicate_rows, concat_ws('; ', CASE WHEN n = 0 THEN 'Empty dataset' END,
+    CASE WHEN n - d > n * 0.1::DOUBLE THEN 'High duplicate rate' END,
+    CASE WHEN m > n * {len(cols)} * 0.2::DOUBLE THEN 'High missing value rate' END) AS issues
+FROM (SELECT count(*) AS n, {blanks} AS m, (SELECT count(*) FROM (SELECT DISTINCT * FROM ({rows}))) AS d FROM ({rows}))"""
+
+
+@query(" UNION ALL ".join(f"({_profile_sql(name)})" for name in PROFILED))
+def quality_issues(spark, folder):
+    """Profiles of an empty selection, of repeated rows and of rows with many holes."""
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    even = F.col("o_orderkey") % 2 == 0
+    inputs = {
+        "none": orders.where("o_orderkey < 0").select("o_orderkey"),
+        "repeated": lines.select("l_returnflag", "l_linestatus"),
+        "holes": orders.select(
+            "o_orderkey",
+            F.when(even, F.col("o_orderdate")).alias("a"),
+            F.when(even, F.col("o_orderstatus")).alias("b"),
+        ),
+    }
+    reports = [
+        profile.quality_report(df).select(F.lit(name).alias("input"), "*").drop("passed")
+        for name, df in inputs.items()
+    ]
+    return reports[0].union(reports[1]).union(reports[2])
+
+
 @query(on_subs("SELECT * FROM subs"))
 def csv_round_trip(spark, folder):
     """Written as headed CSV and read back with the declared schema."""

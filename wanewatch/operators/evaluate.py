@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wanewatch.functions.scalars import positive, ratio
+from wanewatch.functions.scalars import nan_to_null, positive, ratio
 from wanewatch.operators.order_stats import range_number
 from wanewatch.session import lookup_join
 
@@ -52,8 +52,9 @@ def metrics(
     areas = roc_auc(df, label, probability, by)
     if not by:
         counted, areas = counted.withColumn("_g", F.lit(1)), areas.withColumn("_g", F.lit(1))
-        return counted.join(areas, "_g").drop("_g")
-    joined = lookup_join(counted, areas, by, "left")
+        joined = counted.join(areas, "_g", "left").drop("_g")
+    else:
+        joined = lookup_join(counted, areas, by, "left")
     return joined.withColumn("roc_auc", F.coalesce("roc_auc", F.lit(0.0)))
 
 
@@ -67,7 +68,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     keys = [F.col(c) for c in by] or [F.lit(1).alias("_g")]
     names = by or ["_g"]
     tally = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        df.where(nan_to_null(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(*keys, F.col(score).alias("s"))
         .agg(
             F.count_if(F.col(label) == 1).alias("pos"),

@@ -57,7 +57,7 @@ def prediction_log(
 
 
 def moments(df: DataFrame, features: dict[str, Column]) -> DataFrame:
-    """(feature, n, mean, std, min, max) from one pass.
+    """(feature, n, mean, std, min, max) from one pass; NaN is left out like NULL.
 
     A few features are aggregated side by side in one row. Many would make one very long
     generated method, so they are turned into (feature, value) rows first; partial
@@ -65,7 +65,7 @@ def moments(df: DataFrame, features: dict[str, Column]) -> DataFrame:
     """
     if len(features) > WIDE_FEATURES:
         pairs = [
-            F.struct(F.lit(name).alias("feature"), c.cast("double").alias("x"))
+            F.struct(F.lit(name).alias("feature"), scalars.nan_to_null(c.cast("double")).alias("x"))
             for name, c in features.items()
         ]
         return (
@@ -81,7 +81,7 @@ def moments(df: DataFrame, features: dict[str, Column]) -> DataFrame:
         )
     sums, structs = [], []
     for i, (name, c) in enumerate(features.items()):
-        x = c.cast("double")
+        x = scalars.nan_to_null(c.cast("double"))
         sums += [
             F.avg(x).alias(f"mean_{i}"),
             F.stddev_pop(x).alias(f"std_{i}"),

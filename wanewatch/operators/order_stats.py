@@ -16,14 +16,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wanewatch.functions.scalars import nan_to_null
+
 SKETCH_ACCURACY = 20_000
 GRID_STEPS = 2_000
 SLACK = 2.0 / SKETCH_ACCURACY
 
 
 def long_form(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(g, x) rows of several numeric columns; NULL left out."""
-    pairs = [F.struct(F.lit(c).alias("g"), F.col(c).cast("double").alias("x")) for c in cols]
+    """(g, x) rows of several numeric columns; NULL and NaN left out."""
+    pairs = [
+        F.struct(F.lit(c).alias("g"), nan_to_null(F.col(c).cast("double")).alias("x")) for c in cols
+    ]
     return df.select(F.inline(F.array(*pairs))).where(F.col("x").isNotNull())
 
 

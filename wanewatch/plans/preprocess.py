@@ -93,8 +93,8 @@ def fit_preprocessor(df: DataFrame, spec: FeatureSpec) -> PipelineModel:
         pieces.append(f"coalesce(cast(`{c}` as string), {blank}) as `{c}_text`")
     for c in hashed:
         pieces.append(f"coalesce(cast(`{c}` as string), 'nan') as `{c}_token`")
-    # Also the guard that no column with an open vocabulary is one-hot encoded.
-    known = categories(df, sorted({*plain, *embedded})) if plain or embedded else {}
+    # one-hot columns are left to the indexer, which sets no limit on the vocabulary
+    known = categories(df, sorted(embedded)) if embedded else {}
     for c, dim in embedded.items():
         listed = ", ".join(_quote(v) for v in known[c]) or "''"
         limit = (6.0 / (1 + dim)) ** 0.5

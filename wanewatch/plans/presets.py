@@ -18,6 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasWeightCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def predictor_models(**shrink) -> dict[str, Estimator]:
     return {n: make(n, {**o, **shrink_options(n, shrink)}) for n, o in PREDICTOR.items()}
 
 
-class SummedLogistic(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+class SummedLogistic(Estimator, HasWeightCol, DefaultParamsReadable, DefaultParamsWritable):
     """Logistic regression whose penalty is weighed against the summed loss: 1 / (C n)."""
 
     c = Param(Params._dummy(), "c", "inverse penalty", typeConverter=TypeConverters.toFloat)
@@ -128,16 +129,19 @@ class SummedLogistic(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame):
-        n = max(dataset.count(), 1)
-        return LogisticRegression(
+        weighted = self.isDefined(self.weightCol)
+        size = F.sum(self.getWeightCol()) if weighted else F.count("*")
+        n = max(dataset.agg(size).first()[0] or 0, 1)
+        made = LogisticRegression(
             regParam=1.0 / (self.getOrDefault(self.c) * n),
             standardization=False,
             maxIter=self.getOrDefault(self.maxIter),
             tol=TOLERANCE,
-        ).fit(dataset)
+        )
+        return (made.setWeightCol(self.getWeightCol()) if weighted else made).fit(dataset)
 
 
-class Samme(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+class Samme(Estimator, HasWeightCol, DefaultParamsReadable, DefaultParamsWritable):
     """Boosted stumps: after each round the weight of missed rows grows.
 
     The weights are the only state carried from round to round; their lineage is cut every
@@ -154,7 +158,8 @@ class Samme(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        rows = dataset.select("features", "label").withColumn("_w", F.lit(1.0))
+        start = F.col(self.getWeightCol()) if self.isDefined(self.weightCol) else F.lit(1.0)
+        rows = dataset.select("features", "label", start.cast("double").alias("_w"))
         rate = self.getOrDefault(self.rate)
         stumps, votes = [], []
         for i in range(self.getOrDefault(self.rounds)):
