@@ -124,6 +124,25 @@ def test_packing_schedule_keeps_the_mixture():
     assert np.abs(spent - share).max() < 4
 
 
+@pytest.mark.parametrize("weights", [None, [0.5, 0.3, 0.0, 0.1, 0.1]])
+def test_packing_places_every_token_of_small_queues(weights):
+    totals = [3_000_000, 1_000_000, 1, 50, 7_000]
+    plan = packing.Schedule(totals, weights)
+    queue = np.repeat(np.arange(5), [60_000, 20_000, 1, 1, 140])
+    length = np.array(totals)[queue] // np.bincount(queue)[queue]
+    position = np.concatenate([np.cumsum(length[queue == q]) - length[queue == q] for q in range(5)])
+    doc, start, count, window, offset = packing.cut(queue, position, length, plan, 2048)
+    assert (np.bincount(doc, count, len(queue)) == length).all()
+    fill = np.bincount(window, count)
+    assert (fill[:-1] == 2048).all() and fill[-1] == sum(totals) % 2048
+    assert len(set(zip(window.tolist(), offset.tolist()))) == len(window)
+    # a lone token among so many that the windows between its queue's turns are never listed
+    for total in (10**9, 10**13):
+        plan = packing.Schedule([total, 3])
+        doc, start, count, window, offset = packing.cut(np.array([1]), np.array([0]), np.array([3]), plan, 2048)
+        assert count.tolist() == [1, 1, 1] and start.tolist() == [0, 1, 2]
+
+
 def test_rules_counts(spark, docs, texts, odd, empty):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     model = quality_rules.train(docs, labels)

@@ -81,46 +81,83 @@ class Schedule:
             out[rows] = spent + due + np.clip(rest, 0, jump)
         return out
 
-    def near(self, queue: np.ndarray, position: np.ndarray, size: int) -> np.ndarray:
-        """A window at or before the one that holds ``position`` of ``queue``, by interpolation."""
-        marks = np.array([p[1] for p in self.phases] + [self.phases[-1][1] + self.phases[-1][2]])
-        out = np.zeros(len(queue), np.int64)
-        ends = np.append(self.starts, self.total)
+    def bracket(self, queue: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(low, high) ranks: ``token`` of ``queue`` is handed out behind ``low``, by ``high``.
+
+        A token of n falls due at the first clock value c with c * n >= token + 1 (in whole
+        turns); up to then the queues have got c times all tokens, less than one each short.
+        """
+        low, high = np.zeros(len(queue), np.int64), np.zeros(len(queue), np.int64)
         for q in np.unique(queue):
-            rows = queue == q
-            mark, keep = np.unique(marks[:, q], return_index=True)
-            # where a queue stands still, the later rank counts
-            last = np.append(keep[1:] - 1, len(ends) - 1)
-            k = np.clip(np.searchsorted(mark, position[rows], "right") - 1, 0, len(mark) - 1)
-            span = np.where(k + 1 < len(mark), mark[np.minimum(k + 1, len(mark) - 1)] - mark[k], 1)
-            width = ends[np.minimum(last[k] + 1, len(ends) - 1)] - ends[last[k]]
-            out[rows] = ends[last[k]] + ((position[rows] - mark[k]) / span * width).astype(np.int64)
-        return out // size
+            rows = np.flatnonzero(queue == q)
+            marks = np.array([p[1][q] for p in self.phases])
+            k = np.searchsorted(marks, token[rows], "right") - 1  # where it stands still, the later phase
+            takes = np.array([p[2][q] for p in self.phases])[k]
+            whole = np.array([p[2].sum() for p in self.phases], float)[k]
+            due = self.starts[k] + (token[rows] - marks[k] + 1) / takes * whole
+            step = whole / (1 << BITS) + 1
+            low[rows] = np.floor(due - step - len(self.phases[0][1]))
+            high[rows] = np.ceil(due + step)
+        return np.maximum(low, 0), np.minimum(high, self.total)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first``, ``first + 1`` ... up to ``count`` values of each, in a row."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def candidates(queue, position, length, schedule: Schedule, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document index, window) of all windows that can hold a token of the document."""
+
+    def span(q, begin, end):
+        first = schedule.bracket(q, begin)[0] // size
+        return first, np.maximum(schedule.bracket(q, end)[1] - 1, 0) // size - first + 1
+
+    full = np.flatnonzero(length > 0)
+    first, count = span(queue[full], position[full], (position + length)[full] - 1)
+    # where tokens lie windows apart, only the windows around each of them
+    thin = count > 4 * length[full]
+    doc, window = np.repeat(full[~thin], count[~thin]), _ranges(first[~thin], count[~thin])
+    if thin.any():
+        few = full[thin]
+        owner, token = np.repeat(few, length[few]), _ranges(position[few], length[few])
+        first, count = span(queue[owner], token, token)
+        pairs = np.unique(np.stack([np.repeat(owner, count), _ranges(first, count)], 1), axis=0)
+        doc, window = np.append(doc, pairs[:, 0]), np.append(window, pairs[:, 1])
+    return doc, window
 
 
 def cut(queue, position, length, schedule: Schedule, size: int):
     """Pieces of documents: (document index, start, length, window, offset in the window)."""
-    if not len(queue):
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    # one token is due to a queue within one clock step of its ideal turn; two windows are margin
-    margin = 2 + (schedule.total >> BITS) // size
-    first = np.maximum(schedule.near(queue, position, size) - margin, 0)
-    last = schedule.near(queue, position + length - 1, size) + margin
-    windows = np.unique(np.concatenate([np.arange(a, b + 2) for a, b in zip(first, last, strict=True)]))
-    spent = schedule.spent(windows * size)
-    at, count = np.searchsorted(windows, first), last - first + 1
-    doc = np.repeat(np.arange(len(queue)), count)
-    row = np.repeat(at - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    q = queue[doc]
-    low = np.maximum(position[doc], spent[row, q])
-    high = np.minimum((position + length)[doc], spent[row + 1, q])
-    real = high > low
-    doc, row, q, low, high = doc[real], row[real], q[real], low[real], high[real]
-    # queues lie in a window one after the other
-    filled = np.zeros_like(spent)
-    inside = np.diff(spent, axis=0)
-    filled[:-1] = np.cumsum(inside, 1) - inside
-    return doc, low - position[doc], high - low, windows[row], filled[row, q] + low - spent[row, q]
+    found = [[np.zeros(0, np.int64)] for _ in range(5)]
+    pairs, held = candidates(queue, position, length, schedule, size) if len(queue) else (found[0][0],) * 2
+    order = np.argsort(held, kind="stable")
+    most = max(1, CELLS // max(1, 4 * len(schedule.phases[0][1]))) if len(order) else 1
+    # the windows of a block are not more than ``most``
+    block = (np.cumsum(np.diff(held[order], prepend=-1) != 0) - 1) // most
+    edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1)).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        doc, window = pairs[order[a:b]], held[order[a:b]]
+        windows = np.unique(np.concatenate([window, window + 1]))
+        spent = schedule.spent(windows * size)
+        row, q = np.searchsorted(windows, window), queue[doc]
+        low = np.maximum(position[doc], spent[row, q])
+        high = np.minimum((position + length)[doc], spent[row + 1, q])
+        real = high > low
+        doc, row, q, low, high = doc[real], row[real], q[real], low[real], high[real]
+        # queues lie in a window one after the other
+        filled = np.zeros_like(spent)
+        inside = np.diff(spent, axis=0)
+        filled[:-1] = np.cumsum(inside, 1) - inside
+        offset = filled[row, q] + low - spent[row, q]
+        for out, x in zip(found, (doc, low - position[doc], high - low, windows[row], offset), strict=True):
+            out.append(x)
+    doc, start, count, window, offset = map(np.concatenate, found)
+    placed = np.bincount(doc, count, len(queue))
+    if (placed != length).any():
+        raise AssertionError(f"{int((placed != length).sum())} documents are not placed whole")
+    order = np.lexsort((start, doc))
+    return doc[order], start[order], count[order], window[order], offset[order]
 
 
 def pack(
