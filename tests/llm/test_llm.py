@@ -79,6 +79,20 @@ def test_encode_matches_the_libraries(texts):
         assert bpe.decode(ids, made)[0] == "".join(many).encode()
 
 
+def test_added_tokens_keep_their_id():
+    second = Tokenizer.from_file(tokens.GPT_FILE)
+    end = "<|endoftext|>"
+    rnd = random.Random(4)
+    many = [f"a {end} b", end, end * 3, f"{end}'s", f"it'{end}s", f"x \n{end}\n x", "<|endoftext", "", f" {end} ", "é漢" + end]
+    many += ["".join(rnd.choices([end, " ", "a", "'s", "é", "\n", "<|", "1"], k=rnd.randint(0, 12))) for _ in range(300)]
+    made = bpe.Ranks.from_merges(open(tokens.GPT_FILE, "rb").read())
+    ids, count = bpe.encode(many, made)
+    stop = np.cumsum(count)
+    for text, a, b in zip(many, stop - count, stop, strict=True):
+        assert ids[a:b].tolist() == second.encode(text, add_special_tokens=False).ids
+    assert 50256 in ids and bpe.decode(ids, made)[0] == "".join(many).encode()
+
+
 @pytest.mark.parametrize("top", [2, 300, 50_257, 2**32 - 1])
 def test_simple8b_round_trip(top):
     rng = np.random.default_rng(top)

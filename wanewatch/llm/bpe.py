@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 import unicodedata
 from itertools import repeat
 
@@ -117,7 +118,11 @@ def scan(sym: np.ndarray) -> np.ndarray:
 class Ranks:
     """Merge table of a vocabulary: (left id, right id) to merge rank and merged id."""
 
-    def __init__(self, tokens: dict[int, bytes], pairs: np.ndarray, ranks: np.ndarray, made):
+    def __init__(self, tokens: dict[int, bytes], pairs: np.ndarray, ranks: np.ndarray, made, added: dict[str, int] | None = None):
+        # texts of fixed ids, found before anything else is cut; of two at one place the longer
+        self.added = added or {}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.added_at = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         self.byte_id = np.zeros(256, np.int32)
         for i, b in tokens.items():
             if len(b) == 1:
@@ -168,8 +173,13 @@ class Ranks:
 
     @classmethod
     def from_merges(cls, data: bytes) -> Ranks:
-        """A tokenizers file of the byte-level kind: its merge list in order."""
-        model = json.loads(data)["model"]
+        """A tokenizers file of the byte-level kind: its merge list in order, its added tokens."""
+        file = json.loads(data)
+        model, added = file["model"], {}
+        for t in file.get("added_tokens") or []:
+            if t["single_word"] or t["lstrip"] or t["rstrip"]:
+                raise ValueError(f"added token {t['content']!r}: only plain matches are known")
+            added[t["content"]] = t["id"]
         # printable bytes stand for themselves, the others for the code points from 256 on
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in set(plain)]
@@ -178,12 +188,13 @@ class Ranks:
         for token, i in vocab.items():
             if all(c in back for c in token):
                 ids[i] = bytes(back[c] for c in token)
+        ids |= {i: content.encode() for content, i in added.items()}
         pairs, made = [], []
         for merge in model["merges"]:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             pairs.append(vocab[a] << 32 | vocab[b])
             made.append(vocab[a + b])
-        return cls(ids, pairs, np.arange(len(pairs)), made)
+        return cls(ids, pairs, np.arange(len(pairs)), made, added)
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of id pairs, NONE where there is none (ids below 0 never merge)."""
@@ -318,6 +329,24 @@ def _chunks(texts: list[str]):
 
 def encode(texts: list[str], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, number of ids per text)."""
+    if ranks.added and any(token in text for token in ranks.added for text in texts):
+        return _encode_around(texts, ranks)
+    return _encode_plain(texts, ranks)
+
+
+def _encode_around(texts: list[str], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """``encode`` where added tokens cut texts: what lies between them is encoded like a text."""
+    split = [ranks.added_at.split(t) for t in texts]
+    ids, counts = _encode_plain([part for parts in split for part in parts[::2]], ranks)
+    fixed = [[ranks.added[token] for token in parts[1::2]] for parts in split]
+    number = np.array([len(f) for f in fixed], np.int64)
+    last = np.cumsum(number + 1) - 1  # the last part of a text has no added token behind it
+    behind = np.delete(np.cumsum(counts), last)
+    ids = np.insert(ids, behind, np.array([i for f in fixed for i in f], np.uint32))
+    return ids, np.add.reduceat(counts, last - number) + number
+
+
+def _encode_plain(texts: list[str], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     parts = [_encode(chunk, ranks) for chunk in _chunks(texts)]
     if not parts:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
