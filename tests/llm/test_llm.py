@@ -253,6 +253,21 @@ def test_suffix_dedup(spark, monkeypatch, hot):
     assert suffix_dedup.remove_repeats(df.limit(0), ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 8, 2])
+def test_suffix_dedup_of_repeated_rows(spark, monkeypatch, hot):
+    """Rows of one id and text are one document; of two texts at the same place none is earlier."""
+    if hot:
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(suffix_dedup, "LOCAL_HOT", hot)
+    rnd = random.Random(6)
+    one, two, three, line = ("".join(rnd.choices("abcdef ", k=n)) for n in (400, 300, 250, 150))
+    rows = [(1, one)] * 2 + [(None, two)] * 2 + [(2, three)] * 12 + [(3, one)] * 2 + [(4, line + "x" * 90), (4, line + "y" * 90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.remove_repeats(df, ["doc_id"]).collect()), key=str)
+    want = [(1, 400, 0)] * 2 + [(None, 300, 0)] * 2 + [(2, 250, 0)] * 12 + [(3, 400, 400)] * 2 + [(4, 240, 0)] * 2
+    assert got == sorted(want, key=str)
+
+
 def test_neighbours_recall(spark):
     df = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
     table = df.toPandas()

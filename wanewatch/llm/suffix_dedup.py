@@ -132,11 +132,12 @@ def _classes(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def repeated(key, left_size, right_size, left, right, low, high):
+def repeated(key, place, left_size, right_size, left, right, low, high):
     """(smallest, largest) offset of the seed in a repeated window; -1 where there is none.
 
-    Rows come in text order within their key. ``left`` is mirrored. Only offsets from ``low``
-    to ``high`` are asked for.
+    Rows come in text order within their key; ``place`` grows along it and is equal for rows
+    of which none is earlier. ``left`` is mirrored. Only offsets from ``low`` to ``high`` are
+    asked for.
     """
     n = len(key)
     least, most = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
@@ -153,7 +154,7 @@ def repeated(key, left_size, right_size, left, right, low, high):
         inside = np.flatnonzero((left_size >= i) & (right_size >= j))
         pair = _classes(r_order, r_lcp, j)[inside] * np.int64(n + 1) + _classes(l_order, l_lcp, i)[inside]
         _, first, which = np.unique(pair, return_index=True, return_inverse=True)
-        hit = inside[first[which] != np.arange(len(inside))]
+        hit = inside[place[inside] > place[inside[first[which]]]]
         hit = hit[asked[hit]]
         least[hit[least[hit] < 0]] = i
         most[hit] = i
@@ -197,8 +198,9 @@ def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for x, y in bounded_groups(sizes, 50_000):
         part = rows.iloc[edge[x] : edge[y]]
         before, after = part["before"].tolist(), part["after"].tolist()
+        place = np.cumsum((part[["pos", "at"]].diff() != 0).any(axis=1).to_numpy())
         least, most = repeated(
-            part["key"].to_numpy(), np.array([len(b) for b in before]), np.array([len(a) for a in after]),
+            part["key"].to_numpy(), place, np.array([len(b) for b in before]), np.array([len(a) for a in after]),
             _matrix(before, REACH), _matrix(after, REACH),
             part["low"].to_numpy(), part["high"].to_numpy(),
         )
@@ -368,6 +370,13 @@ def remove_repeats(
     )
     docs = source.select(*place, body.alias("text"))
     fresh = docs.filter(F.octet_length("text") >= SPAN).join(_sized(copies, F.lit(24)), ["pos", "tag"], "left_anti")
+    # rows of the same place and text are one document: no string of one starts before the other's
+    again = small.groupBy("pos", "tag").agg(F.count("*").alias("c")).filter("c > 1").select("pos", "tag")
+    again = stored(again, "lpf-again")
+    if not again.isEmpty():
+        once = _sized(again, F.lit(24))
+        twice = fresh.join(once, ["pos", "tag"], "left_semi").groupBy("pos", "tag").agg(F.first("text").alias("text"))
+        fresh = fresh.join(once, ["pos", "tag"], "left_anti").unionByName(twice)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 62).alias("stop")))
     runs = removed_runs(fresh).union(copies.select("pos", "tag", whole.alias("runs")))
     runs = _sized(stored(runs, "lpf-runs"), 64 + 48 * F.size("runs"))
