@@ -157,6 +157,17 @@ def test_packing_places_every_token_of_small_queues(weights):
         assert count.tolist() == [1, 1, 1] and start.tolist() == [0, 1, 2]
 
 
+def test_packing_keeps_weights_of_many_sources(spark):
+    rows = [(i, "a b c d e f g h " * 20, f"s{i % 2}" if i < 400 else f"t{i}") for i in range(440)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(df, size=256, weights={"s0": 0.75, "s1": 0.25}, max_queues=8).toPandas()
+    assert got["length"].sum() == got.drop_duplicates("doc_id")["doc_tokens"].sum()
+    got["s"] = [r if r < 400 else -1 for r in got["doc_id"]]
+    first = got[got["sequence_id"] < 50]
+    share = first[first["s"].ge(0) & (first["s"] % 2 == 0)]["length"].sum() / first["length"].sum()
+    assert share == pytest.approx(0.75, abs=0.01) and (first["s"] >= 0).all()
+
+
 def test_rules_counts(spark, docs, texts, odd, empty):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     model = quality_rules.train(docs, labels)

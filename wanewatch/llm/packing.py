@@ -9,7 +9,7 @@ token is shuffled. When a queue runs dry, the rest share its turn in proportion
 
 Cases: a null or empty text is its end id alone; a null source is a queue of its own; a repeated
 row is packed each time; an empty table gives no rows. The last window holds what is left.
-Sources beyond ``max_queues`` share queues by hash. Other columns of the input are not read.
+With more than ``max_queues`` sources those without a weight share queues by hash. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -179,7 +179,9 @@ def pack(
     """
     name = F.when(F.col(source).isNull(), "").otherwise(F.concat(F.lit("="), F.col(source)))
     few = df.select(name.alias("q")).distinct().limit(max_queues + 1).count() <= max_queues
-    queue = name if few else F.pmod(F.xxhash64(name), F.lit(max_queues)).cast("string")
+    named = {"" if k is None else f"={k}": v for k, v in (weights or {}).items()}
+    shared = F.pmod(F.xxhash64(name), F.lit(max_queues)).cast("string")
+    queue = name if few else F.when(name.isin(*named), name).otherwise(shared) if named else shared
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), queue.alias("queue"))
     tokens = stored(
         encoded(docs, vocabulary, ["doc_id", "queue"], end_id=end_id, queue="queue"), "pack-tokens"
@@ -187,10 +189,7 @@ def pack(
     blocks = tokens.groupBy("queue", "block").agg(F.sum("n_tokens").alias("n"))
     blocks = prefix_sums(blocks, ["queue"], "block", "n", "base")
     totals = sorted((r["queue"], r["n"]) for r in tokens.groupBy("queue").agg(F.sum("n_tokens").alias("n")).collect())
-    goal = None
-    if weights is not None and few:
-        named = {"" if k is None else f"={k}": v for k, v in weights.items()}
-        goal = [named.get(q, 0.0) for q, _ in totals]
+    goal = None if weights is None else [named.get(q, 0.0) for q, _ in totals]
     schedule = Schedule([n for _, n in totals], goal)
     number = {q: i for i, (q, _) in enumerate(totals)}
     few_blocks = blocks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
