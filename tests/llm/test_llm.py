@@ -329,3 +329,13 @@ def test_one_row_of_a_repeated_id(spark):
         df = spark.createDataFrame(rows[turn:] + rows[:turn], "doc_id long, text string, __n string")
         got = sorted(map(tuple, simhash.one_per_group(df).collect()), key=str)
         assert got == sorted([(3, words[1], "c"), (5, words[3], "d"), (None, words[0], "e"), (None, None, "f")], key=str)
+
+
+def test_an_id_on_two_texts_links_none_of_them(spark):
+    """Of an id on a copy and on a clean text only the copy goes."""
+    words = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]
+    rows = [(1, words[0]), (3, words[0]), (3, words[1]), (4, words[2]), (5, words[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.one_per_group(df).collect())) == [(1, words[0]), (3, words[1]), (4, words[2])]
+    named = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(df).collect()}
+    assert named == {(1, 1), (3, 1), (3, 3), (4, 4), (5, 3)}

@@ -122,20 +122,25 @@ def linked(prints: np.ndarray, apart: int = BITS_APART) -> tuple[np.ndarray, np.
     return pairs[:, 0], pairs[:, 1]
 
 
+def text_tag(text: str):
+    """64-bit hash of a text; null is empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def with_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, print) of every row; the fingerprint is a signed 64-bit integer."""
-    source = spread(df).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, tag, print) of every row; the fingerprint is a signed 64-bit integer."""
+    source = spread(df).select(F.col(doc_id).alias("doc_id"), text_tag(text).alias("tag"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [text_bytes(t) for t in batch["text"].tolist()]
             for a, b in bounded_groups([len(t) for t in texts], BATCH_BYTES):
-                out = batch.iloc[a:b][["doc_id"]].copy()
+                out = batch.iloc[a:b][["doc_id", "tag"]].copy()
                 out["print"] = fingerprints(texts[a:b], shingle).view(np.int64)
                 yield out
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInPandas(run, f"doc_id {kind}, print long")
+    return source.mapInPandas(run, f"doc_id {kind}, tag long, print long")
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -180,27 +185,38 @@ def links(nodes: DataFrame) -> DataFrame:
     return small.union(stars)
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, print, component_id) of every row; the component's smallest id names it."""
+def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, tag, print, component_id) of every row; the component's smallest id names it.
+
+    Nodes are numbered by fingerprint: an id on several texts links none of them.
+    """
     prints = stored(with_fingerprints(df, doc_id, text, shingle), "simhash-prints")
     nodes = stored(
-        prints.filter("doc_id is not null").groupBy("print").agg(F.min("doc_id").cast("long").alias("node")),
+        prints.filter("doc_id is not null").groupBy("print").agg(F.min("doc_id").cast("long").alias("least"))
+        .withColumn("node", F.col("print")),
         "simhash-nodes",
-    )
+    )
     groups = components(links(nodes))
-    named = nodes.join(groups, "node", "left").select(
-        "print", F.coalesce("component", "node").alias("component_id")
+    placed = nodes.join(groups, "node", "left").select("print", "least", F.col("component"))
+    names = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("name"))
+    named = placed.join(names, "component", "left").select(
+        "print", F.coalesce("name", "least").alias("component_id")
     )
     return prints.join(named, "print", "left").select(
-        "doc_id", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+        "doc_id", "tag", "print", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
 
 
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """(doc_id, print, component_id) of every row; the component's smallest id names it."""
+    return grouped(df, doc_id, text, shingle).select("doc_id", "print", "component_id")
+
+
 def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``df`` that stay: the smallest id of every component, once; null ids stay."""
-    gone = near_duplicates(df, doc_id, text).filter(F.col("doc_id") != F.col("component_id"))
-    ids = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    rest = df.join(ids, F.col(doc_id) == F.col("__gone"), "left_anti")
+    gone = grouped(df, doc_id, text).filter(F.col("doc_id") != F.col("component_id"))
+    rows = gone.select(F.col("doc_id").alias("__gone"), F.col("tag").alias("__tag")).distinct()
+    rest = df.join(rows, (F.col(doc_id) == F.col("__gone")) & (text_tag(text) == F.col("__tag")), "left_anti")
     # an id that repeats keeps its smallest text, of equal ones the smallest row hash
     again = rest.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__again"))
     again = again.agg(F.count("*").alias("__n")).filter("__n > 1").select("__again")
