@@ -146,6 +146,7 @@ def odd_corpus(n: int) -> list[tuple]:
 @pytest.mark.parametrize("hot", [debruijn.HOT, 6, 0])
 def test_spans_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(debruijn, "HOT", hot)
+    monkeypatch.setattr(debruijn, "TOGETHER", hot)
     rows = odd_corpus(150)
     df = spark.createDataFrame([(i, t, "a", 1, "b") for i, t in rows], DDL).repartition(4)
     got = debruijn.remove_spans(df, ["doc_id", "pos", "output"]).collect()

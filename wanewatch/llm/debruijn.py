@@ -12,25 +12,25 @@ are its nodes). A word goes if an edge covers it that also starts earlier in the
    whose sources follow each other are one piece of a nonbranching path: no second way leads in
    or out between them.
 3. A join on (document, source, position) hangs every piece to the piece before it, across
-   buckets; a path is what hangs together. Its source coordinates tell one earlier span that
-   holds all its words.
-4. The join of paths with their sources verifies long spans: the words at both places are
-   hashed again, whole, and a span whose hashes differ is not removed.
+   buckets; a path is what hangs together. Its source coordinates verify it as one span: piece by
+   piece, both places have moved on by the same number of words.
 
 Buckets with more than ``HOT`` runs are not gathered: of equal runs only the first is kept (the
 others start later, all of them), and the windows of those are counted by hash with partial
-aggregation. Whole-text copies are settled before by 128-bit hash.
+aggregation. Whole-text copies are settled before by 128-bit hash. Texts are dealt out once, into
+a table bucketed by document number, and stay where they are when marks are joined to them.
 
 Cases: a null or empty text has no words; texts below ``SPAN`` words lose none; rows with the same
 id and text are one document and judged alike; a null id comes first in the order; of two texts
 under one id the earlier start counts as earlier; an empty table gives no rows. Ids are integers.
 Output: the ``keep`` columns, ``kept`` (words joined by one space), ``n_words``, ``n_removed`` and
-``spans`` (first and last word but one of every removed run); helper columns are prefixed, so
-other columns cannot clash as long as ``keep`` has none of these four names.
+``spans`` (first and last word but one of every removed run); ``keep`` columns are renamed
+inside, so other columns cannot clash as long as ``keep`` has none of these four names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,16 +43,18 @@ from pyspark.sql import types as T
 from wanewatch.llm.common import bounded_groups, spread, stored, text_bytes
 from wanewatch.llm.suffix_dedup import FIRST, _sized, _slide, _whole, merge_runs
 from wanewatch.llm.words import Words, words_of
+from wanewatch.session import fresh_path
 
 SPAN, KMER = 20, 6
 HOT = 1_000  # runs of a minimiser beyond which its bucket is not gathered
 BATCH_BYTES = 1_000_000
 BUCKET_RUNS = 50_000  # runs settled at once
+TOGETHER = 200_000  # runs of a minimiser that are looked at together before it counts as hot
 LONG_WORD = 512
 SALT = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 TURN = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-PLACE = "pos long, tag long, at int"
-PIECE = "pos long, tag long, start int, stop int, src_pos long, src_tag long, src_at int"
+PLACE = "doc long, pos long, at int"
+PIECE = "doc long, start int, stop int, src long, src_at int"
 
 
 def joined(a: np.ndarray, b: np.ndarray, family: int) -> np.ndarray:
@@ -116,34 +118,34 @@ def runs_of(w: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return w.doc[start], start, np.diff(np.append(head, len(at))), low[start].view(np.int64)
 
 
-def settle_pieces(key_rows: pd.DataFrame) -> pd.DataFrame:
-    """Pieces of later edges, of runs (pos, tag, at, edges) that hold all places of their edges."""
-    edges = np.frombuffer(b"".join(key_rows["edges"].tolist()), np.uint64).reshape(-1, 2)
-    size = key_rows["edges"].map(len).to_numpy() // 16
-    row = np.repeat(np.arange(len(size)), size)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    pos, tag = key_rows["pos"].to_numpy()[row], key_rows["tag"].to_numpy()[row]
-    at = key_rows["at"].to_numpy()[row].astype(np.int64) + inside
-    order = np.lexsort((tag, at, pos, edges[:, 1], edges[:, 0]))
+def settle_pieces(runs: pd.DataFrame) -> pd.DataFrame:
+    """Pieces of later edges, of runs (doc, pos, at, edges) that hold all places of their edges."""
+    edges = np.frombuffer(b"".join(runs["edges"].tolist()), np.uint64).reshape(-1, 2)
+    row, inside = listed(runs["edges"])
+    doc, pos = runs["doc"].to_numpy()[row], runs["pos"].to_numpy()[row]
+    at = runs["at"].to_numpy()[row].astype(np.int64) + inside
+    order = np.lexsort((doc, at, pos, edges[:, 1], edges[:, 0]))
     ranked = edges[order]
     new = np.append(True, (ranked[1:] != ranked[:-1]).any(1))
     source = np.empty(len(row), np.int64)
     source[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     later = (pos > pos[source]) | ((pos == pos[source]) & (at > at[source]))
-    shift = at - at[source]
+    shift, src = at - at[source], doc[source]
     follows = np.append(
-        False,
-        later[:-1] & (row[1:] == row[:-1]) & (shift[1:] == shift[:-1])
-        & (pos[source[1:]] == pos[source[:-1]]) & (tag[source[1:]] == tag[source[:-1]]),
-    )
+        False, later[:-1] & (row[1:] == row[:-1]) & (shift[1:] == shift[:-1]) & (src[1:] == src[:-1])
+    )
     head = np.flatnonzero(later & ~follows)
     total = np.append(0, np.cumsum(later))
-    # a piece's edges are neighbours: its last edge is the last later one before the next head
+    # a piece's edges are neighbours: between two heads only its own edges are later ones
     count = np.diff(np.append(total[head], total[-1]))
-    return pd.DataFrame(
-        {"pos": pos[head], "tag": tag[head], "start": at[head], "stop": at[head] + count,
-         "src_pos": pos[source[head]], "src_tag": tag[source[head]], "src_at": at[source[head]]}
-    )
+    return pd.DataFrame({"doc": doc[head], "start": at[head], "stop": at[head] + count, "src": src[head], "src_at": at[source[head]]})
+
+
+def listed(edges: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(run, place in the run) of every edge."""
+    size = edges.map(len).to_numpy() // 16
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
 
 
 def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,160 +160,150 @@ def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def hot_pieces(rows: DataFrame) -> DataFrame:
-    """Pieces of runs (pos, tag, at, edges) whose minimisers very many runs share."""
+    """Pieces of runs (doc, pos, at, edges) whose minimisers very many runs share."""
     half = F.conv(F.substring(F.sha2("edges", 256), 1, 15), 16, 10).cast("long")
-    rows = rows.select("pos", "tag", "at", "edges", F.xxhash64("edges").alias("c1"), half.alias("c2"))
-    place = F.struct("pos", "at", "tag")
+    rows = rows.select("doc", "pos", "at", "edges", F.xxhash64("edges").alias("c1"), half.alias("c2"))
     first = stored(
-        rows.groupBy("c1", "c2").agg(F.min(place).alias("f"), F.first("edges").alias("edges"))
+        rows.groupBy("c1", "c2").agg(F.min(F.struct("pos", "at", "doc")).alias("f"), F.first("edges").alias("edges"))
         .select("c1", "c2", "f.*", "edges"),
         "debruijn-first",
     )
-    heads = first.select("c1", "c2", F.col("pos").alias("src_pos"), F.col("tag").alias("src_tag"), F.col("at").alias("src_at"))
+    source = [F.col("doc").alias("src"), F.col("pos").alias("src_pos"), F.col("at").alias("src_at")]
     later = (F.col("pos") > F.col("src_pos")) | ((F.col("pos") == F.col("src_pos")) & (F.col("at") > F.col("src_at")))
-    stop = (F.col("at") + F.length("edges") / 16).cast("int")
-    columns = ["pos", "tag", F.col("at").alias("start"), F.col("stop"), "src_pos", "src_tag", "src_at"]
-    copies = rows.join(heads, ["c1", "c2"]).filter(later).withColumn("stop", stop).select(*columns)
+    columns = ["doc", F.col("at").alias("start"), "stop", "src", "src_at"]
+    copies = rows.join(first.select("c1", "c2", *source), ["c1", "c2"]).filter(later)
+    copies = copies.withColumn("stop", (F.col("at") + F.length("edges") / 16).cast("int"))
 
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             edges = np.frombuffer(b"".join(batch["edges"].tolist()), np.int64).reshape(-1, 2)
-            size = batch["edges"].map(len).to_numpy() // 16
-            row = np.repeat(np.arange(len(size)), size)
-            inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            yield pd.DataFrame(
-                {"w1": edges[:, 0], "w2": edges[:, 1], "pos": batch["pos"].to_numpy()[row],
-                 "tag": batch["tag"].to_numpy()[row], "at": batch["at"].to_numpy()[row] + inside}
-            )
-
-    single = first.select("pos", "tag", "at", "edges").mapInPandas(listed, f"w1 long, w2 long, {PLACE}")
-    firsts = single.groupBy("w1", "w2").agg(F.min(place).alias("f"), F.count("*").alias("n")).filter("n > 1")
-    firsts = firsts.select(
-        "w1", "w2", F.col("f.pos").alias("src_pos"), F.col("f.tag").alias("src_tag"), F.col("f.at").alias("src_at")
-    )
-    found = single.join(firsts, ["w1", "w2"]).filter(later).withColumn("stop", (F.col("at") + 1).cast("int"))
-    return copies.union(found.select(*columns))
+            row, inside = listed(batch["edges"])
+            rest = batch[["doc", "pos", "at"]].iloc[row]
+            yield rest.assign(at=rest["at"] + inside, w1=edges[:, 0], w2=edges[:, 1])
+
+    alone = first.select("doc", "pos", "at", "edges").mapInPandas(single, f"w1 long, w2 long, {PLACE}")
+    firsts = alone.groupBy("w1", "w2").agg(F.min(F.struct("pos", "at", "doc")).alias("f"), F.count("*").alias("n"))
+    firsts = firsts.filter("n > 1").select("w1", "w2", "f.*").select("w1", "w2", *source)
+    found = alone.join(firsts, ["w1", "w2"]).filter(later).withColumn("stop", (F.col("at") + 1).cast("int"))
+    return copies.select(*columns).union(found.select(*columns))
 
 
 def paths(pieces: DataFrame) -> DataFrame:
-    """Pieces that hang together, as one row each: start, stop and source of the whole path."""
-    walk = ["pos", "tag", "src_pos", "src_tag", "shift"]
-    pieces = stored(pieces.withColumn("shift", F.col("start") - F.col("src_at")), "debruijn-pieces")
-    before = pieces.select(*walk, F.col("stop").alias("start"), F.lit(1).alias("hangs")).distinct()
+    """Pieces that hang together, as one row each: (doc, start, stop) and the path's source."""
+    walk = ["doc", "src", "shift"]
+    pieces = stored(pieces.withColumn("shift", F.col("start") - F.col("src_at")).drop("src_at"), "debruijn-pieces")
+    before = pieces.select(*walk, F.col("stop").alias("start"), F.lit(1).alias("hangs"))
     linked = pieces.join(before, [*walk, "start"], "left").withColumn("head", F.col("hangs").isNull().cast("int"))
-    along = Window.partitionBy(*walk).orderBy("start")  # at most the pieces of one document
+    along = Window.partitionBy("doc").orderBy("start")  # the pieces of one document
     linked = linked.withColumn("path", F.sum("head").over(along))
-    return linked.groupBy(*walk, "path").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).select(
-        "pos", "tag", "start", "stop", "src_pos", "src_tag", (F.col("start") - F.col("shift")).alias("src_at")
+    return linked.groupBy("doc", "path").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.first("src").alias("src"), F.first("shift").alias("shift")
     )
 
 
+def recurring(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs of minimisers that a partition (all runs of its minimisers) has more than once."""
+    rows = _whole(batches)
+    if len(rows):
+        _, which, count = np.unique(rows["key"].to_numpy(), return_inverse=True, return_counts=True)
+        rows["hot"] = count[which] > HOT
+        rows = rows[count[which] > 1]
+        for a in range(0, len(rows), 100_000):
+            yield rows.iloc[a : a + 100_000][["doc", "at", "hot"]]
+
+
 def repeated_paths(docs: DataFrame) -> DataFrame:
-    """Later occurrences of repeated paths in documents (pos, tag, text) without whole copies."""
+    """Later occurrences of repeated paths in documents (doc, pos, text) without copies."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [text_bytes(t) for t in batch["text"].tolist()]
-            pos, tag = batch["pos"].to_numpy(), batch["tag"].to_numpy()
+            texts, docs = [text_bytes(t) for t in batch["text"].tolist()], batch["doc"].to_numpy()
             for a, b in bounded_groups([len(t) for t in texts], BATCH_BYTES):
                 w = words_of(texts[a:b], codes=False)
                 doc, start, _, key = runs_of(w, word_hashes(w, 0))
                 base = np.cumsum(w.count()) - w.count()
-                yield pd.DataFrame(
-                    {"key": key, "pos": pos[a:b][doc], "tag": tag[a:b][doc], "at": start - base[doc]}
-                )
+                yield pd.DataFrame({"key": key, "doc": docs[a:b][doc], "at": start - base[doc]})
+
+    found = stored(docs.select("doc", "text").mapInPandas(find, "key long, doc long, at int"), "debruijn-runs")
+    # a minimiser that no task has so often is gathered: TOGETHER runs at most (two a task, if more)
+    often = max(2, TOGETHER // max(found.rdd.getNumPartitions(), 1))
 
-    found = stored(docs.mapInPandas(find, f"key long, {PLACE}"), "debruijn-runs")
-    often = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    often = often.select("key", (F.col("n") > HOT).alias("hot"))
-    marks = found.join(_sized(stored(often, "debruijn-often"), F.lit(16)), "key")
-    marks = marks.groupBy("pos", "tag").agg(F.collect_list(F.struct("at", "hot")).alias("marks"))
-    marks = _sized(stored(marks, "debruijn-marks"), 64 + 24 * F.size("marks"))
+    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys = _whole(batches)
+        if len(keys):
+            key, count = np.unique(keys["key"].to_numpy(), return_counts=True)
+            yield pd.DataFrame({"key": key[count >= often]})
+
+    hot = _sized(stored(found.select("key").mapInPandas(frequent, "key long").distinct(), "debruijn-hot"), F.lit(16))
+    usual = found.join(hot, "key", "left_anti").repartition("key").mapInPandas(recurring, "doc long, at int, hot boolean")
+    marks = usual.union(found.join(hot, "key").select("doc", "at", F.lit(True)))
+    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("at", "hot")).alias("marks"))
 
     def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [text_bytes(t) for t in batch["text"].tolist()]
-            pos, tag = batch["pos"].to_numpy(), batch["tag"].to_numpy()
+            docs, pos, marks = batch["doc"].to_numpy(), batch["pos"].to_numpy(), batch["marks"].tolist()
             for a, b in bounded_groups([len(t) for t in texts], BATCH_BYTES):
                 w = words_of(texts[a:b], codes=False)
                 one = word_hashes(w, 0)
                 doc, start, size, key = runs_of(w, one)
                 base = np.cumsum(w.count()) - w.count()
-                asked = [(base[i] + m["at"], m["hot"]) for i, ms in enumerate(batch["marks"].tolist()[a:b]) for m in ms]
-                places = np.array([x for x, _ in asked], np.int64)
+                places = np.array([base[i] + m["at"] for i, ms in enumerate(marks[a:b]) for m in ms], np.int64)
                 order = np.argsort(places)
+                hot = np.array([m["hot"] for ms in marks[a:b] for m in ms], bool)[order]
                 mine = np.searchsorted(start, places[order])
-                hot = np.array([h for _, h in asked], bool)[order]
                 edges = np.stack([spans(one, SPAN, 0), spans(word_hashes(w, 1), SPAN, 1)], 1).tobytes()
                 doc, start, size, key = doc[mine], start[mine], size[mine], key[mine]
                 yield pd.DataFrame(
-                    {"key": key, "hot": hot, "pos": pos[a:b][doc], "tag": tag[a:b][doc], "at": start - base[doc],
+                    {"key": key, "hot": hot, "doc": docs[a:b][doc], "pos": pos[a:b][doc], "at": start - base[doc],
                      "edges": [edges[16 * x : 16 * (x + m)] for x, m in zip(start.tolist(), size.tolist(), strict=True)]}
                 )
 
-    placed = docs.join(marks, ["pos", "tag"])
-    rows = stored(placed.mapInPandas(carry, f"key long, hot boolean, {PLACE}, edges binary"), "debruijn-edges")
-    usual = rows.filter("not hot").select("key", "pos", "tag", "at", "edges").repartition("key")
-    pieces = usual.mapInPandas(settle, PIECE)
-    return paths(pieces.union(hot_pieces(rows.filter("hot").drop("key", "hot"))))
-
+    rows = docs.join(marks, "doc").mapInPandas(carry, f"key long, hot boolean, {PLACE}, edges binary")
+    rows = stored(rows, "debruijn-edges")
+    usual = rows.filter("not hot").select("key", "doc", "pos", "at", "edges").repartition("key")
+    return paths(usual.mapInPandas(settle, PIECE).union(hot_pieces(rows.filter("hot").drop("key", "hot"))))
 
-def verified(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Paths whose words equal those at their source, both hashed as a whole."""
-    found = stored(found, "debruijn-paths")
-    length = (F.col("stop") - F.col("start")).alias("edges")
-    here = found.select("pos", "tag", F.col("start").alias("at"), length)
-    there = found.select(F.col("src_pos").alias("pos"), F.col("src_tag").alias("tag"), F.col("src_at").alias("at"), length)
-    asked = here.union(there).distinct().groupBy("pos", "tag").agg(F.collect_list(F.struct("at", "edges")).alias("asked"))
-    asked = _sized(stored(asked, "debruijn-asked"), 64 + 24 * F.size("asked"))
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for pos, tag, text, places in zip(batch["pos"], batch["tag"], batch["text"], batch["asked"], strict=True):
-                word = text_bytes(text).split()
-                for p in places:
-                    d = xxhash.xxh3_128_intdigest(b" ".join(word[p["at"] : p["at"] + p["edges"] + SPAN - 1]))
-                    out.append((pos, tag, p["at"], p["edges"], (d >> 64) - (1 << 63), (d & (2**64 - 1)) - (1 << 63)))
-            yield pd.DataFrame(out, columns=["pos", "tag", "at", "edges", "d1", "d2"])
-
-    prints = docs.join(asked, ["pos", "tag"]).mapInPandas(hashed, "pos long, tag long, at int, edges int, d1 long, d2 long")
-    prints = _sized(stored(prints, "debruijn-prints"), F.lit(56))
-    own = prints.withColumnsRenamed({"at": "start"})
-    source = prints.withColumnsRenamed({"pos": "src_pos", "tag": "src_tag", "at": "src_at", "d1": "e1", "d2": "e2"})
-    rows = found.withColumn("edges", length).join(own, ["pos", "tag", "start", "edges"])
-    rows = rows.join(source, ["src_pos", "src_tag", "src_at", "edges"])
-    return rows.filter("d1 = e1 and d2 = e2").select("pos", "tag", "start", "stop")
+def numbered(df: DataFrame, keep: list[str], doc_id: str, text: str) -> DataFrame:
+    """(doc, pos, text, __k0, ...): all rows, numbered, in a table bucketed by that number."""
+    spark, name = df.sparkSession, f"debruijn_{uuid.uuid4().hex}"
+    rows = df.select(
+        F.monotonically_increasing_id().alias("doc"), F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST)).alias("pos"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)],
+    )
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    writer = rows.repartition(buckets, "doc").write.option("path", fresh_path(spark, "debruijn-docs"))
+    writer.option("compression", "zstd").bucketBy(buckets, "doc").sortBy("doc").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay in the shared folder
+    return table
 
 
 def remove_spans(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``keep`` columns, ``kept``, ``n_words``, ``n_removed``, ``spans`` of every row."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    place = [F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST)).alias("pos"), F.xxhash64(body).alias("tag")]
-    source = spread(df)
-    small = stored(source.select(*place, F.xxhash64(F.lit(1), body).alias("tag2")), "debruijn-texts")
-    first = small.groupBy("tag", "tag2").agg(F.min("pos").alias("first"), F.count("*").alias("c")).filter("c > 1")
-    copies = stored(
-        small.join(first, ["tag", "tag2"]).filter("pos > first").select("pos", "tag").distinct(), "debruijn-copies"
-    )
-    docs = source.select(*place, body.alias("text"))
-    fresh = docs.join(_sized(copies, F.lit(24)), ["pos", "tag"], "left_anti")
-    again = small.groupBy("pos", "tag").agg(F.count("*").alias("c")).filter("c > 1").select("pos", "tag")
-    again = stored(again, "debruijn-again")
-    if not again.isEmpty():  # rows of one place and text are one document
-        once = _sized(again, F.lit(24))
-        twice = fresh.join(once, ["pos", "tag"], "left_semi").groupBy("pos", "tag").agg(F.first("text").alias("text"))
-        fresh = fresh.join(once, ["pos", "tag"], "left_anti").unionByName(twice)
-    gone = verified(repeated_paths(fresh), fresh)
-    by_doc = gone.groupBy("pos", "tag").agg(
-        F.collect_list(F.struct("start", (F.col("stop") + SPAN - 1).alias("stop"))).alias("runs")
+    table = numbered(spread(df), keep, doc_id, text)
+    prints = stored(
+        table.select("doc", "pos", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")), "debruijn-texts"
     )
+    groups = prints.groupBy("h1", "h2").agg(F.min(F.struct("pos", "doc")).alias("first"), F.count("*").alias("c"))
+    groups = _sized(stored(groups.filter("c > 1").select("h1", "h2", "first"), "debruijn-groups"), F.lit(40))
+    # copies lose all windows; rows of the first copy's id are one document with it
+    copies = stored(
+        prints.join(groups, ["h1", "h2"]).filter("doc <> first.doc")
+        .select("doc", (F.col("pos") > F.col("first.pos")).alias("copy"), F.col("first.doc").alias("leader")),
+        "debruijn-copies",
+    )
+    fresh = table.select("doc", "pos", "text").join(_sized(copies.select("doc"), F.lit(16)), "doc", "left_anti")
+    gone = repeated_paths(fresh)
+    gone = gone.groupBy("doc").agg(F.collect_list(F.struct("start", (F.col("stop") + SPAN - 1).alias("stop"))).alias("runs"))
+    gone = stored(gone, "debruijn-gone")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("stop")))
-    runs = stored(by_doc.union(copies.select("pos", "tag", whole)), "debruijn-gone")
-    renamed = {"pos": "__pos", "tag": "__tag", "runs": "__runs"}
-    rows = source.select(*keep, place[0].alias("__pos"), place[1].alias("__tag"), body.alias("__text"))
-    rows = rows.join(_sized(runs, 64 + 24 * F.size("runs")).withColumnsRenamed(renamed), ["__pos", "__tag"], "left")
-    rows = rows.select(*keep, "__text", "__runs")
+    alike = copies.filter("not copy").select(F.col("doc").alias("own"), F.col("leader").alias("doc"))
+    runs = gone.union(copies.filter("copy").select("doc", whole)).union(gone.join(alike, "doc").select("own", "runs"))
+    rows = table.join(runs, "doc", "left").select(
+        *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], F.col("text").alias("__text"), F.col("runs").alias("__runs")
+    )
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [rows.schema[c] for c in keep] + [
         T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()),
@@ -320,7 +312,7 @@ def remove_spans(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: s
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept, size, lost, listed = [], [], [], []
+            kept, size, lost, places = [], [], [], []
             for text, runs in zip(batch["__text"].tolist(), batch["__runs"].tolist(), strict=True):
                 words, left, edges = text_bytes(text).split(), [], []
                 if runs is not None and len(words) >= SPAN:
@@ -333,8 +325,8 @@ def remove_spans(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: s
                 kept.append(b" ".join(left).decode())
                 size.append(len(words))
                 lost.append(len(words) - len(left))
-                listed.append([{"start": a, "stop": b} for a, b in edges])
+                places.append([{"start": a, "stop": b} for a, b in edges])
             out = batch.drop(columns=["__text", "__runs"])
-            yield out.assign(kept=kept, n_words=size, n_removed=lost, spans=listed)
+            yield out.assign(kept=kept, n_words=size, n_removed=lost, spans=places)
 
     return rows.mapInPandas(cut, T.StructType(fields))
