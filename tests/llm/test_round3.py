@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wanewatch.llm import debruijn, infill, lloyd, queries
+import corpus_pipeline
+from wanewatch.llm import debruijn, infill, lloyd, queries, simhash, suffix_dedup, token_files
 
 FOLDER = "/root/testdata/sf0.001"
 DDL = "doc_id long, text string, __text string, pos long, output string"
@@ -186,3 +187,44 @@ def test_contracts_of_the_queries(spark):
                 assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"]) == form[:4]
                 assert r["output_sha256"] == hashlib.sha256(form[4].encode()).hexdigest()
                 assert r["restored_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
+
+
+def test_links_go_through_rows_without_id(spark, monkeypatch):
+    """A middle row without an id joins two documents further apart than the bound."""
+    prints = {"a": 0, "b": 0b11, "c": 0b1111, "d": 0xFF0000}
+    monkeypatch.setattr(simhash, "with_fingerprints", lambda df, *_: df.select("doc_id", F.xxhash64("text").alias("tag"), "print"))
+    rows = [(1, "a"), (None, "b"), (3, "c"), (None, "d")]
+    df = spark.createDataFrame([(i, t, prints[t]) for i, t in rows], "doc_id long, text string, print long")
+    got = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(df).collect()}
+    assert got == {(1, 1), (None, None), (3, 1)}
+
+
+def test_stages_take_columns_of_any_name(spark):
+    """Columns named like every helper pass the stages untouched."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    clash = ["pos", "tag", "kept", "n_bytes", "n_removed", "spans", "runs", "__text", "__runs", "__pos", "__tag", "__row",
+             "score", "n_words", "base_failed", "chance", "print", "component_id", "__gone", "doc", "__c0", "leader"]
+    for k, c in enumerate(clash):
+        docs = docs.withColumn(c, F.concat(F.lit(f"{k}-"), F.col("doc_id").cast("string")))
+    docs = docs.persist()
+    made = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, made, FOLDER)
+        assert made.columns == docs.columns
+        for r in made.collect():
+            assert all(r[c] == f"{k}-{r['doc_id']}" for k, c in enumerate(clash)), name
+    rows = suffix_dedup.remove_repeats(docs, ["doc_id", "pos", "tag"]).collect()
+    assert {(r["pos"], r["tag"]) for r in rows} == {(f"0-{r['doc_id']}", f"1-{r['doc_id']}") for r in rows}
+    assert debruijn.remove_spans(docs, ["doc_id", "pos", "tag", "runs", "doc"]).count() == len(rows)
+
+
+def test_selectors_are_the_densest():
+    rng = np.random.default_rng(5)
+    for top in (2, 40, 5000, 1 << 20):
+        width = token_files.WIDTH_OF[rng.integers(0, min(top, 1 << 17), 700)]
+        width[rng.integers(0, 700, 300)] = rng.integers(0, 3)
+        padded = np.append(width, np.zeros(240, np.int8))
+        want = [
+            min(s for s in range(16) if padded[i : i + token_files.COUNTS[s]].max() <= token_files.WIDTHS[s]) for i in range(700)
+        ]
+        assert token_files.choices(padded, 700).tolist() == want

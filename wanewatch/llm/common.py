@@ -32,6 +32,12 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, row_bytes, most: int = 24 << 20) -> DataFrame:
+    """``df`` marked for broadcast if the sum of ``row_bytes`` over its rows is at most ``most``."""
+    total = df.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= most else df
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker process, across tasks."""
     module = sys.modules.setdefault("wanewatch_worker", types.ModuleType("wanewatch_worker"))

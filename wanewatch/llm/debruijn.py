@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanewatch.llm.common import bounded_groups, spread, stored, text_bytes
-from wanewatch.llm.suffix_dedup import FIRST, _sized, _slide, _whole, merge_runs
+from wanewatch.llm.common import bounded_groups, sized, spread, stored, text_bytes
+from wanewatch.llm.suffix_dedup import FIRST, _slide, _whole, merge_runs
 from wanewatch.llm.words import Words, words_of
 from wanewatch.session import fresh_path
 
@@ -234,7 +234,7 @@ def repeated_paths(docs: DataFrame) -> DataFrame:
             key, count = np.unique(keys["key"].to_numpy(), return_counts=True)
             yield pd.DataFrame({"key": key[count >= often]})
 
-    hot = _sized(stored(found.select("key").mapInPandas(frequent, "key long").distinct(), "debruijn-hot"), F.lit(16))
+    hot = sized(stored(found.select("key").mapInPandas(frequent, "key long").distinct(), "debruijn-hot"), F.lit(16))
     usual = found.join(hot, "key", "left_anti").repartition("key").mapInPandas(recurring, "doc long, at int, hot boolean")
     marks = usual.union(found.join(hot, "key").select("doc", "at", F.lit(True)))
     marks = marks.groupBy("doc").agg(F.collect_list(F.struct("at", "hot")).alias("marks"))
@@ -287,14 +287,14 @@ def remove_spans(df: DataFrame, keep: list[str], doc_id: str = "doc_id", text: s
         table.select("doc", "pos", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")), "debruijn-texts"
     )
     groups = prints.groupBy("h1", "h2").agg(F.min(F.struct("pos", "doc")).alias("first"), F.count("*").alias("c"))
-    groups = _sized(stored(groups.filter("c > 1").select("h1", "h2", "first"), "debruijn-groups"), F.lit(40))
+    groups = sized(stored(groups.filter("c > 1").select("h1", "h2", "first"), "debruijn-groups"), F.lit(40))
     # copies lose all windows; rows of the first copy's id are one document with it
     copies = stored(
         prints.join(groups, ["h1", "h2"]).filter("doc <> first.doc")
         .select("doc", (F.col("pos") > F.col("first.pos")).alias("copy"), F.col("first.doc").alias("leader")),
         "debruijn-copies",
     )
-    fresh = table.select("doc", "pos", "text").join(_sized(copies.select("doc"), F.lit(16)), "doc", "left_anti")
+    fresh = table.select("doc", "pos", "text").join(sized(copies.select("doc"), F.lit(16)), "doc", "left_anti")
     gone = repeated_paths(fresh)
     gone = gone.groupBy("doc").agg(F.collect_list(F.struct("start", (F.col("stop") + SPAN - 1).alias("stop"))).alias("runs"))
     gone = stored(gone, "debruijn-gone")

@@ -177,16 +177,18 @@ def apply_rules(
 ) -> DataFrame:
     """``keep`` columns of every row plus the rule columns and the verdict ``kept``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of buckets
-    source = spread(docs).select(*keep, F.col(text).alias("__text"))
+    shown = text in keep  # then it goes to the workers once
+    source = spread(docs).select(*keep, *([] if shown else [F.col(text).alias("__text")]))
+    name = text if shown else "__text"
     fields = [source.schema[c] for c in keep]
     fields += T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in VERDICT)).fields
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [text_bytes(t) for t in batch["__text"].tolist()]
+            texts = [text_bytes(t) for t in batch[name].tolist()]
             for a, b in bounded_groups([len(t) for t in texts], BATCH_BYTES):
                 rules = judge(texts[a:b], shared.value, threshold)
-                rest = batch.iloc[a:b].drop(columns="__text").reset_index(drop=True)
+                rest = batch.iloc[a:b][keep].reset_index(drop=True)
                 yield pd.concat([rest, rules], axis=1)
 
     return source.mapInPandas(run, T.StructType(fields))

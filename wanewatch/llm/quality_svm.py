@@ -137,18 +137,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST, where=None) -> d
 def score(docs: DataFrame, model: dict | None, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns of every row plus ``score``, the chance of good quality."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of buckets
-    source = spread(docs).select(*keep, F.col(text).alias("__text"))
+    shown = text in keep  # then it goes to the workers once
+    source = spread(docs).select(*keep, *([] if shown else [F.col(text).alias("__text")]))
+    name = text if shown else "__text"
     fields = [*(source.schema[c] for c in keep), T.StructField("score", T.DoubleType())]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [text_bytes(t) for t in batch["__text"].tolist()]
+            texts = [text_bytes(t) for t in batch[name].tolist()]
             for a, b in bounded_groups([len(t) for t in texts], BATCH_BYTES):
                 chance, model = np.full(b - a, 0.5), shared.value
                 if model:
                     margin = margins(texts[a:b], model["weights"], model["bias"])
                     chance = sigmoid(model["slope"] * margin + model["shift"])
-                rest = batch.iloc[a:b].drop(columns="__text").copy()
+                rest = batch.iloc[a:b][keep].copy()
                 rest["score"] = chance
                 yield rest
 

@@ -13,8 +13,8 @@ within one bit of both, so every node is posted under itself and its 64 single-b
 such a posting holds at most 65 nodes, all linked to each other.
 
 Cases: a null, empty or wordless text has fingerprint zero, linked like any other; one or two
-words are one shingle; a null id has no component of its own; repeated rows share a component;
-an empty table gives no rows; other columns are not read.
+words are one shingle; a row with a null id links others but has no component id itself; repeated
+rows share a component; an empty table gives no rows; other columns are not read. Ids are integers.
 """
 
 from __future__ import annotations
@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanewatch.llm.common import bounded_groups, components, spread, stored, text_bytes
+from wanewatch.llm.common import bounded_groups, components, sized, spread, stored, text_bytes
 from wanewatch.llm.words import words_of
 
 BLOCKS = [(0, 22), (22, 43), (43, 64)]
 PIVOTS = 24  # references per block
 BITS_APART = 2
 HOT = 256  # nodes of a key beyond which no pairs are looked at
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
+SLICE = 65_536  # shingles whose bits are counted at once
 
 
 def fingerprints(texts: list[bytes], shingle: int = 3, seed: int = 42) -> np.ndarray:
@@ -63,17 +64,18 @@ def fingerprints(texts: list[bytes], shingle: int = 3, seed: int = 42) -> np.nda
     size = np.minimum(count, shingle)
     doc = np.repeat(np.arange(len(texts)), n)
     at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    digest = xxhash.xxh64_intdigest
-    hashes = [
-        digest(packed[a:b], seed)
-        for a, b in zip(new_begin[at].tolist(), new_end[at + size[doc] - 1].tolist(), strict=True)
-    ]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    full = np.flatnonzero(n)
-    ones = np.add.reduceat(bits, np.cumsum(n)[full] - n[full], axis=0, dtype=np.int64)
-    major = (2 * ones > n[full][:, None]).astype(np.uint8)
-    out[full] = np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    digest, ones = xxhash.xxh64_intdigest, np.zeros((len(texts), 64), np.int64)
+    for k in range(0, len(at), SLICE):
+        some, mine = at[k : k + SLICE], doc[k : k + SLICE]
+        hashes = [
+            digest(packed[a:b], seed)
+            for a, b in zip(new_begin[some].tolist(), new_end[some + size[mine] - 1].tolist(), strict=True)
+        ]
+        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        edge = np.flatnonzero(np.diff(mine, prepend=-1))
+        ones[mine[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int64)
+    major = (2 * ones > n[:, None]).astype(np.uint8)
+    return np.packbits(major, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def references() -> tuple[np.ndarray, np.ndarray]:
@@ -169,9 +171,11 @@ def links(nodes: DataFrame) -> DataFrame:
     posts = nodes.mapInPandas(post, "block int, key long, print long, node long")
     sizes = posts.groupBy("block", "key").agg(F.count("*").alias("n")).filter("n > 1")
     posts = stored(posts.join(sizes, ["block", "key"]), "simhash-posts")
+    # pair tests cost far more than their rows weigh: the count keeps them on all cores
+    parts = max(nodes.sparkSession.sparkContext.defaultParallelism, nodes.rdd.getNumPartitions())
     member = F.struct("print", "node")
     small = (
-        posts.filter(F.col("n") <= HOT).groupBy("block", "key")
+        posts.filter(F.col("n") <= HOT).repartition(parts, "block", "key").groupBy("block", "key")
         .agg(F.collect_list(member).alias("members")).select("members")
         .mapInPandas(pairs, "a long, b long")
     )
@@ -192,7 +196,7 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     """
     prints = stored(with_fingerprints(df, doc_id, text, shingle), "simhash-prints")
     nodes = stored(
-        prints.filter("doc_id is not null").groupBy("print").agg(F.min("doc_id").cast("long").alias("least"))
+        prints.groupBy("print").agg(F.min("doc_id").cast("long").alias("least"))
         .withColumn("node", F.col("print")),
         "simhash-nodes",
     )
@@ -215,8 +219,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``df`` that stay: the smallest id of every component, once; null ids stay."""
     gone = grouped(df, doc_id, text).filter(F.col("doc_id") != F.col("component_id"))
-    rows = gone.select(F.col("doc_id").alias("__gone"), F.col("tag").alias("__tag")).distinct()
-    rest = df.join(rows, (F.col(doc_id) == F.col("__gone")) & (text_tag(text) == F.col("__tag")), "left_anti")
+    rows = stored(gone.select(F.col("doc_id").alias("__gone"), F.col("tag").alias("__tag")).distinct(), "simhash-gone")
+    same = (F.col(doc_id) == F.col("__gone")) & (text_tag(text) == F.col("__tag"))
+    rest = df.join(sized(rows, F.lit(24)), same, "left_anti")
     # an id that repeats keeps its smallest text, of equal ones the smallest row hash
     again = rest.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__again"))
     again = again.agg(F.count("*").alias("__n")).filter("__n > 1").select("__again")

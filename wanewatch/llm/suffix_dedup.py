@@ -22,7 +22,8 @@ counted by 128-bit hash with partial aggregation. Whole-text copies are settled
 Cases: a null or empty text has no bytes; texts below ``SPAN`` bytes never lose any; rows with
 the same id and text are one document and judged alike; a null id comes first in the order; an
 empty table gives no rows. Output: the ``keep`` columns, ``kept`` (bytes), ``n_bytes``,
-``n_removed`` and ``spans`` (start and end of every removed run).
+``n_removed`` and ``spans`` (start and end of every removed run). Ids are integers; ``keep`` may
+hold any names but these four.
 """
 
 from __future__ import annotations
@@ -380,8 +381,10 @@ def remove_repeats(
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 62).alias("stop")))
     runs = removed_runs(fresh).union(copies.select("pos", "tag", whole.alias("runs")))
     runs = _sized(stored(runs, "lpf-runs"), 64 + 48 * F.size("runs"))
-    rows = source.select(*keep, *place, body.alias("__text")).join(runs, ["pos", "tag"], "left")
-    rows = rows.select(*keep, F.col("__text"), F.col("runs").alias("__runs"))
+    # prefixed, as ``keep`` may have columns of any name
+    rows = source.select(*keep, place[0].alias("__pos"), place[1].alias("__tag"), body.alias("__text"))
+    rows = rows.join(runs.withColumnsRenamed({"pos": "__pos", "tag": "__tag", "runs": "__runs"}), ["__pos", "__tag"], "left")
+    rows = rows.select(*keep, "__text", "__runs")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
     fields = [rows.schema[c] for c in keep] + [
         T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("n_bytes", T.LongType()),

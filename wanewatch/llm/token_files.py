@@ -29,7 +29,9 @@ from wanewatch.llm.tokens import GPT_FILE, ranks_of, vocabulary
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 BLOCK = 8192
-PAGE_CHARS = 400_000
+ENCODE_CHARS = 1_000_000  # characters encoded at once
+PAGE_IDS = 150_000
+WIDTH_OF = np.frexp(np.arange(1 << 17).astype(np.float64))[1].astype(np.int8)  # bits of small values
 BROADCAST_ROWS = 200_000
 ESCAPE_SHARE = 1 / 128  # ids escaped at most, as a share of a block
 PAGES = (
@@ -38,11 +40,37 @@ PAGES = (
 )
 
 
+def choices(width: np.ndarray, n: int) -> np.ndarray:
+    """The selector that holds most values from each of the first ``n`` places.
+
+    A selector has fewer and wider values than the one before, so a place that one selector
+    fits all later ones fit as well: only places that still fit are tested for the next, on
+    maxima of windows by doubling, and the search ends where nothing fits.
+    """
+    out, fit = np.full(n, 15, np.int64), np.arange(n)
+    maxima, size = width, 1
+    levels = {1: width}
+    for s in range(14, -1, -1):
+        count = int(COUNTS[s])
+        while size * 2 <= count:
+            maxima, size = np.maximum(maxima[:-size], maxima[size:]), size * 2
+            levels[size] = maxima
+        most = np.maximum(levels[size][fit], levels[size][fit + count - size])
+        fit = fit[most <= WIDTHS[s]]
+        if not len(fit):
+            break
+        out[fit] = s
+    return out
+
+
 def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, escaped positions, escaped ids) of up to BLOCK ids."""
     n = len(ids)
     value = ids.astype(np.uint64) + np.uint64(1)
-    width = np.frexp(value.astype(np.float64))[1].astype(np.int64)
+    if n and value.max() < len(WIDTH_OF):
+        width = WIDTH_OF[value]
+    else:
+        width = np.frexp(value.astype(np.float64))[1].astype(np.int8)
     tally = np.cumsum(np.bincount(width, minlength=61)[::-1])[::-1]  # ids at least so wide
     for limit in WIDTHS[2:]:
         if limit == 60 or tally[limit + 1] <= n * ESCAPE_SHARE:
@@ -50,15 +78,7 @@ def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(width > limit)
     value[at], width[at] = 0, 0
     value = np.append(value, np.zeros(COUNTS[0], np.uint64))
-    width = np.append(width, np.zeros(COUNTS[0], np.int64))
-    index = np.arange(len(width))
-    choice = np.full(n, 15, np.int64)
-    for s in range(14, -1, -1):
-        wider = np.where(width > WIDTHS[s], index, len(width))
-        run = np.minimum.accumulate(wider[::-1])[::-1][:n] - index[:n]
-        fits = run >= COUNTS[s]
-        if fits.any():
-            choice[fits] = s
+    choice = choices(np.append(width, np.zeros(COUNTS[0], np.int8)), n)
     step, i, starts = COUNTS[choice].tolist(), 0, []
     while i < n:
         starts.append(i)
@@ -138,13 +158,15 @@ def write_tokens(
         ranks, part, page = ranks_of(shared), TaskContext.get().partitionId(), 0
         for batch in batches:
             texts, keys = text_list(batch["text"]), batch["doc_id"].astype(object).tolist()
-            for a, b in bounded_groups([len(t) for t in texts], PAGE_CHARS):
+            for a, b in bounded_groups([len(t) for t in texts], ENCODE_CHARS):
                 ids, counts = bpe.encode(texts[a:b], ranks)
-                ids = np.insert(ids, np.cumsum(counts), tail)
-                row = {"part": part, "page": page, "counts": counts + 1} | encode_page(ids)
-                row["doc_ids"] = [None if pd.isna(k) else k for k in keys[a:b]]
-                yield pd.DataFrame([row])[[c.split()[0] for c in schema.split(", ")]]
-                page += 1
+                ids, counts = np.insert(ids, np.cumsum(counts), tail), counts + 1
+                ends = np.append(0, np.cumsum(counts))
+                for c, d in bounded_groups(counts.tolist(), PAGE_IDS):
+                    row = {"part": part, "page": page, "counts": counts[c:d]} | encode_page(ids[ends[c] : ends[d]])
+                    row["doc_ids"] = [None if pd.isna(k) else k for k in keys[a + c : a + d]]
+                    yield pd.DataFrame([row])[[c.split()[0] for c in schema.split(", ")]]
+                    page += 1
 
     docs.mapInPandas(run, schema).write.parquet(path)
 
