@@ -1,7 +1,7 @@
-"""Classifier presets over Spark's own estimators.
+"""Classifier presets over Spark's own estimators and the boosting of this library.
 
-The three boosted presets differ in rounds, depth and sampling only: Spark has one boosted
-tree estimator and no counterpart of leaf counts or L1/L2 terms on leaves.
+Two of the three boosted presets penalise leaves; one of them grows its trees level by level, the
+other by the worthiest leaf. The third is Spark's own boosted-tree estimator.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wanewatch.plans.boosting import BoostedTrees
 from wanewatch.session import cut_lineage
 
 SEED = 42
@@ -47,14 +48,27 @@ ENSEMBLE = {
 }
 # Presets of the three-model predictor.
 PREDICTOR = {
-    "xgboost": {"trees": 200, "depth": 5, "rate": 0.1, "rows": 0.8, "features": "0.8"},
+    "xgboost": {
+        "trees": 200,
+        "depth": 5,
+        "rate": 0.1,
+        "rows": 0.8,
+        "features": "0.8",
+        "hessian": 1.0,
+        "l1": 0.01,
+        "l2": 1.0,
+        "gamma": 0.1,
+    },
     "lightgbm": {
         "trees": 200,
         "depth": 5,
         "rate": 0.1,
         "rows": 0.8,
         "features": "0.8",
+        "leaves": 31,
         "min_leaf": 20,
+        "l1": 0.01,
+        "l2": 1.0,
     },
     "random_forest": {
         "trees": 200,
@@ -64,13 +78,42 @@ PREDICTOR = {
         "weighted": True,
     },
 }
-BOOSTED = ("xgboost", "lightgbm", "gradient_boosting")
+# What the two penalised boosted models take where a preset says nothing.
+PENALISED = {
+    "xgboost": {"growth": "level", "l1": 0.0, "l2": 1.0, "gamma": 0.0, "hessian": 1.0},
+    "lightgbm": {
+        "growth": "leaf",
+        "leaves": 31,
+        "min_leaf": 20,
+        "l1": 0.0,
+        "l2": 0.0,
+        "gamma": 0.0,
+        "hessian": 0.001,
+    },
+}
 
 
 def make(name: str, options: dict[str, object] | None = None, **more) -> Estimator:
     """Estimator of a preset; options override its values."""
-    o = {**DEFAULTS.get(name, {}), **(options or {}), **more}
-    if name in BOOSTED:
+    o = {**PENALISED.get(name, {}), **DEFAULTS.get(name, {}), **(options or {}), **more}
+    if name in PENALISED:
+        share = str(o.get("features", "all"))
+        made = BoostedTrees(
+            maxIter=int(o["trees"]),
+            maxDepth=int(o["depth"]),
+            maxLeaves=int(o.get("leaves", 0)),
+            stepSize=float(o["rate"]),
+            subsamplingRate=float(o.get("rows", 1.0)),
+            featureShare=1.0 if share == "all" else float(share),
+            regLambda=float(o["l2"]),
+            regAlpha=float(o["l1"]),
+            gamma=float(o["gamma"]),
+            minHessian=float(o["hessian"]),
+            minInstancesPerNode=int(o.get("min_leaf", 1)),
+            growth=str(o["growth"]),
+            seed=SEED,
+        )
+    elif name == "gradient_boosting":
         made = GBTClassifier(
             maxIter=int(o["trees"]),
             maxDepth=int(o["depth"]),
