@@ -10,6 +10,8 @@ MODULES = [
     "scoring_queries",
     "monitor_queries",
     "model_queries",
+    "watch_queries",
+    "fit_queries",
 ]
 
 

@@ -34,6 +34,7 @@ FIXED_POINT = float(1 << 24)
 BLOCK_ROWS = 8_192
 KEPT_TREES = 10  # trees whose margins are worked out again in every job before they are written down
 SKETCH = 10_000
+FEW = 32
 
 
 def _param(name: str, doc: str, converter):
@@ -85,10 +86,10 @@ class BoostedTrees(Estimator, HasWeightCol, DefaultParamsReadable, DefaultParams
             vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"), weight.cast("double").alias("w")
         )
         edges = bin_edges(rows, s["maxBins"])
-        ones, total = rows.agg(F.sum(F.col("y") * F.col("w")), F.sum("w")).first()
+        ones, total, count = rows.agg(F.sum(F.col("y") * F.col("w")), F.sum("w"), F.count("*")).first()
         share = min(max((ones or 0.0) / (total or 1.0), 1e-6), 1 - 1e-6)
         base = math.log(share / (1 - share))
-        blocks = blocks_of(rows, edges, base)
+        blocks = blocks_of(rows, edges, base, count)
         rng = np.random.default_rng(s["seed"])
         trees, pending = [], []
         for number in range(s["maxIter"]):
@@ -130,8 +131,11 @@ def bin_edges(rows: DataFrame, bins: int) -> list[np.ndarray]:
     return out
 
 
-def blocks_of(rows: DataFrame, edges: list[np.ndarray], base: float):
-    """RDD of (number, bins, label, weight, margin) blocks, kept in memory or on disk."""
+def blocks_of(rows: DataFrame, edges: list[np.ndarray], base: float, count: int):
+    """RDD of (number, bins, label, weight, margin) blocks, kept in memory or on disk.
+
+    A small table is drawn together into partitions of about a block, as every level is a job.
+    """
 
     def run(batches):
         for batch in batches:
@@ -153,7 +157,9 @@ def blocks_of(rows: DataFrame, edges: list[np.ndarray], base: float):
             cells = np.frombuffer(r["cells"], np.uint8).reshape(r["n"], len(edges))
             yield (part, k), cells, np.frombuffer(r["y"]), np.frombuffer(r["w"]), np.full(r["n"], base)
 
-    return made.rdd.mapPartitionsWithIndex(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = made.rdd.mapPartitionsWithIndex(unpack)
+    parts = min(blocks.getNumPartitions(), max(1, -(-count // BLOCK_ROWS)))
+    return blocks.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _with_margin(trees):
@@ -209,7 +215,9 @@ def histograms(blocks, pending, tree, nodes, number, chosen, width, s) -> np.nda
                 total[k] += np.bincount(at, np.repeat(value, many), total.shape[1]).astype(np.int64)
         yield total
 
-    found = blocks.mapPartitions(of).treeReduce(np.add)
+    sums = blocks.mapPartitions(of)
+    # few partitions are added up on the driver, which spares a stage
+    found = sums.reduce(np.add) if sums.getNumPartitions() <= FEW else sums.treeReduce(np.add)
     return found.reshape(3, len(nodes), len(chosen), width).transpose(1, 2, 3, 0)
 
 

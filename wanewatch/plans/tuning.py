@@ -13,28 +13,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wanewatch.operators.split import class_weights, folds
+from wanewatch.plans import presets
 
 SEED = 42
 PARALLEL = 4
 
-# Full search grids in the vocabulary of the Spark estimators. Settings that
-# have no Spark counterpart (leaf counts, L1/L2 and gamma terms) are left out.
+# Full search grids in the vocabulary of the estimators.
 FULL = {
     "xgboost": {
         "maxIter": [50, 100, 200, 300],
         "maxDepth": [3, 5, 7, 10],
         "stepSize": [0.01, 0.05, 0.1, 0.2],
-        "minInstancesPerNode": [1, 3, 5],
+        "minHessian": [1.0, 3.0, 5.0],
         "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
-        "featureSubsetStrategy": ["0.7", "0.8", "0.9", "all"],
+        "featureShare": [0.7, 0.8, 0.9, 1.0],
+        "regAlpha": [0.0, 0.1, 0.5, 1.0],
+        "regLambda": [0.1, 0.5, 1.0, 2.0],
     },
     "lightgbm": {
         "maxIter": [50, 100, 200, 300],
         "maxDepth": [3, 5, 7, 10],
         "stepSize": [0.01, 0.05, 0.1, 0.2],
+        "maxLeaves": [15, 31, 63, 127],
         "minInstancesPerNode": [10, 20, 30, 50],
         "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
-        "featureSubsetStrategy": ["0.7", "0.8", "0.9", "all"],
+        "featureShare": [0.7, 0.8, 0.9, 1.0],
+        "regAlpha": [0.0, 0.1, 0.5, 1.0],
+        "regLambda": [0.1, 0.5, 1.0, 2.0],
     },
     "random_forest": {
         "numTrees": [50, 100, 200, 300],
@@ -59,14 +64,16 @@ REDUCED = {
         "maxDepth": [5, 7],
         "stepSize": [0.05, 0.1],
         "subsamplingRate": [0.8, 1.0],
-        "featureSubsetStrategy": ["0.8", "all"],
+        "featureShare": [0.8, 1.0],
+        "regLambda": [0.5, 1.0],
     },
     "lightgbm": {
         "maxIter": [100, 200],
         "maxDepth": [5, 7],
         "stepSize": [0.05, 0.1],
+        "maxLeaves": [31, 63],
         "subsamplingRate": [0.8, 1.0],
-        "featureSubsetStrategy": ["0.8", "all"],
+        "featureShare": [0.8, 1.0],
     },
     "random_forest": {
         "numTrees": [100, 200],
@@ -88,7 +95,9 @@ def base_model(name: str) -> Estimator:
         raise ValueError(f"unknown model: {name}")
     if name == "random_forest":
         return RandomForestClassifier(seed=SEED)
-    return GBTClassifier(seed=SEED)
+    if name == "gradient_boosting":
+        return GBTClassifier(seed=SEED)
+    return presets.make(name)
 
 
 def combinations(grid: dict[str, list]) -> list[dict[str, object]]:

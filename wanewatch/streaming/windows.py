@@ -58,9 +58,12 @@ def run_to_table(
     checkpoint: str,
     *,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    mode: str = "update",
 ) -> None:
     """Process what is there and append every changed window with its batch number.
 
+    With ``mode='append'`` every window comes once, when the watermark has closed it.
+
     Rewriting a batch after a failure overwrites its own folder, so no row doubles.
     """
 
@@ -70,7 +73,7 @@ def run_to_table(
             on_batch(batch, number)
 
     query = (
-        stats.writeStream.outputMode("update")
+        stats.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
