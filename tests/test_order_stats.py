@@ -25,6 +25,38 @@ def test_missed_bracket_is_searched_again(spark, monkeypatch):
     assert sizes == {"g": 1000} and found["g"] == {0: 0, 137: 137, 500: 500, 999: 999}
 
 
+def test_wide_brackets_are_narrowed_until_few_values_are_left(spark, monkeypatch):
+    """With room for five values per sort every bracket needs rounds; a hot value holds a third."""
+    rng = np.random.default_rng(11)
+    hot = np.concatenate([rng.normal(size=3000), np.full(1500, 0.25)])
+    data = {"a": hot, "b": rng.integers(0, 40, 2000).astype(float), "c": np.array([7.0])}
+    rows = [(g, float(v)) for g, values in data.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    monkeypatch.setattr(order_stats, "SORTED_VALUES", 5)
+    monkeypatch.setattr(order_stats, "TREE_LEVELS", 2)
+    monkeypatch.setattr(order_stats, "SLACK", 0.2)
+    asked = lambda _g, n: sorted({0, n // 7, n // 2, n - 1})
+    sizes, found = order_stats.ranks_of(df, asked)
+    for g, values in data.items():
+        ordered = np.sort(values)
+        assert sizes[g] == len(values)
+        assert found[g] == {r: ordered[r] for r in asked(g, len(values))}
+
+
+@pytest.mark.parametrize("limit", [3, 40, 10_000])
+def test_running_totals_at_any_depth(spark, limit, monkeypatch):
+    monkeypatch.setattr(order_stats, "TREE_LEVELS", 2)
+    rng = np.random.default_rng(12)
+    rows = [(g, float(x), int(n)) for g, size in (("a", 300), ("b", 7), ("c", 1)) for x, n in zip(rng.permutation(size), rng.integers(0, 9, size))]
+    df = spark.createDataFrame(rows, "g string, x double, n bigint").repartition(5)
+    made = order_stats.running_before(df, ["g"], "x", ["n"], limit)
+    assert made.columns == ["g", "x", "n", "before_n"]
+    expected = {(g, x): sum(m for h, y, m in rows if h == g and y < x) for g, x, _ in rows}
+    assert {(r["g"], r["x"]): r["before_n"] for r in made.collect()} == expected
+    assert order_stats.running_before(df.where("g = 'a'").drop("g"), [], "x", ["n"], limit).count() == 300
+    assert order_stats.running_before(df.limit(0), ["g"], "x", ["n"], limit).count() == 0
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     assert order_stats.medians(df, ["x"]) == {"x": None}
@@ -158,6 +190,23 @@ def test_auc_with_ties_and_many_values(spark):
     assert found == pytest.approx(brute_auc(y, p))
 
 
+def test_metrics_of_a_group_without_scores(spark, monkeypatch):
+    """Missing and NaN scores have no class; a group of them alone keeps its row; small ranges."""
+    monkeypatch.setattr(order_stats, "SORTED_VALUES", 4)
+    rng = np.random.default_rng(6)
+    y, p = rng.integers(0, 2, 200), rng.random(200)
+    rows = [("m", int(a), float(b)) for a, b in zip(y, p)] + [("m", 1, None), ("m", 0, float("nan")), ("m", None, 0.9), ("none", 1, None)]
+    df = spark.createDataFrame(rows, "model string, label int, p double").repartition(4)
+    found = {r["model"]: r for r in evaluate.metrics(df, "label", "p", ["model"]).collect()}
+    assert set(found) == {"m", "none"} and found["none"]["roc_auc"] == found["none"]["tp"] == 0
+    m = found["m"]
+    said = p > 0.5
+    assert (m["tn"], m["fp"], m["fn"], m["tp"]) == ((~said & (y == 0)).sum(), (said & (y == 0)).sum(), (~said & (y == 1)).sum(), (said & (y == 1)).sum())
+    assert m["roc_auc"] == pytest.approx(brute_auc(y, p))
+    empty = evaluate.metrics(df.limit(0), "label", "p", []).first()
+    assert empty["tp"] == 0 and empty["roc_auc"] == 0.0 and empty["accuracy"] == 0.0
+
+
 def test_one_class_gives_zeros(spark):
     df = spark.createDataFrame([(0, 0.2), (0, 0.7)], "label int, p double")
     row = evaluate.metrics(df, "label", "p", []).first()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wanewatch.operators.order_stats import long_form, quantiles, range_number
+from wanewatch.operators.order_stats import long_form, quantiles, running_before
+from wanewatch.session import cut_lineage
 
 # Fixed value: edges closer than this are merged.
 EDGE_GAP = 1e-8
@@ -53,28 +54,20 @@ def _weighted_quantiles(
 ) -> list[float]:
     """Smallest value whose cumulative weight reaches each share of the total.
 
-    Weights are summed by value, the values cut into ranges by a sketch, and the running
-    weight is taken inside each range on top of the totals of the ranges before it.
+    Weights are summed by value and written once; the running weight comes from a tree of
+    range totals.
     """
-    groups = df.groupBy(F.col(column).cast("double").alias("x")).agg(
-        F.sum(F.col(weight).cast("double")).alias("w")
-    ).where(F.col("x").isNotNull() & (F.col("w") > 0))
-    shares_of_64 = [i / 64 for i in range(1, 64)]
-    cuts = groups.agg(F.percentile_approx("x", shares_of_64, 1000)).first()[0]
-    points = F.array(*[F.lit(float(c)) for c in cuts or [0.0] * 63])
-    ranged = groups.withColumn("part", range_number(F.col("x"), points, 6))
-    totals = {r["part"]: r["w"] for r in ranged.groupBy("part").agg(F.sum("w").alias("w")).collect()}
-    running, before = 0.0, {}
-    for part in sorted(totals):
-        before[part] = running
-        running += totals[part]
-    offset = F.create_map(*[F.lit(v) for pair in before.items() for v in pair])
-    w = Window.partitionBy("part").orderBy("x")
-    upto = ranged.withColumn("upto", F.sum("w").over(w) + offset[F.col("part")])
-    tiny = running * 1e-12
+    groups = cut_lineage(
+        df.groupBy(F.col(column).cast("double").alias("x"))
+        .agg(F.sum(F.col(weight).cast("double")).alias("w"))
+        .where(F.col("x").isNotNull() & (F.col("w") > 0))
+    )
+    total = groups.agg(F.sum("w")).first()[0] or 0.0
+    upto = running_before(groups, [], "x", ["w"]).withColumn("upto", F.col("before_w") + F.col("w"))
+    tiny = total * 1e-12
     found = upto.agg(
         *[
-            F.min(F.when(F.col("upto") >= F.lit(max(s * running - tiny, 0.0)), F.col("x")))
+            F.min(F.when(F.col("upto") >= F.lit(max(s * total - tiny, 0.0)), F.col("x")))
             for s in shares
         ]
     ).first()

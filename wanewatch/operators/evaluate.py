@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wanewatch.functions.scalars import nan_to_null, positive, ratio
-from wanewatch.operators.order_stats import range_number
-from wanewatch.session import lookup_join
-
-SCORE_LEVELS = 7
-SCORE_CUTS = 2**SCORE_LEVELS
+from wanewatch.operators.order_stats import running_before
+from wanewatch.session import cut_lineage
 
 
 def long_scores(df: DataFrame, key: str, label: str, scores: dict[str, str]) -> DataFrame:
@@ -44,80 +41,66 @@ def rates(counts: DataFrame) -> DataFrame:
     )
 
 
-def metrics(
-    df: DataFrame, label: str, probability: str, by: list[str], threshold: float = 0.5
-) -> DataFrame:
-    """Counts, rates and ROC AUC per group."""
-    counted = rates(confusion(df, label, positive(probability, threshold), by))
-    areas = roc_auc(df, label, probability, by)
-    if not by:
-        counted, areas = counted.withColumn("_g", F.lit(1)), areas.withColumn("_g", F.lit(1))
-        joined = counted.join(areas, "_g", "left").drop("_g")
-    else:
-        joined = lookup_join(counted, areas, by, "left")
-    return joined.withColumn("roc_auc", F.coalesce("roc_auc", F.lit(0.0)))
-
-
-def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """Area under the ROC curve with ties counted half; 0 when one class is missing.
+def _tally(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    """(group, s, pos, neg), written: the input, often a model's plan, is read once.
 
-    Rows are first collapsed to one per (group, score). Scores are cut into ranges by a
-    sketch; the negatives below a range come from the range totals, the negatives below a
-    score within the range from a window over that range alone.
+    Rows without a score are one row with a NULL ``s``.
     """
-    keys = [F.col(c) for c in by] or [F.lit(1).alias("_g")]
-    names = by or ["_g"]
-    tally = (
-        df.where(nan_to_null(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*keys, F.col(score).alias("s"))
-        .agg(
+    return cut_lineage(
+        df.groupBy(*by, F.when(nan_to_null(score).isNotNull(), F.col(score)).alias("s")).agg(
             F.count_if(F.col(label) == 1).alias("pos"),
             F.count_if(F.col(label) != 1).alias("neg"),
         )
     )
-    shares = ", ".join(f"{i / SCORE_CUTS}D" for i in range(1, SCORE_CUTS))
-    cuts = tally.groupBy(*names).agg(
-        F.expr(f"percentile_approx(s, array({shares}), 2000)").alias("cuts")
-    )
-    ranged = (
-        lookup_join(tally, cuts, names)
-        .withColumn("part", range_number(F.col("s"), F.col("cuts"), SCORE_LEVELS))
-        .drop("cuts")
-    )
-    before = Window.partitionBy(*names).orderBy("part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy(*names)
-    totals = (
-        ranged.groupBy(*names, "part")
-        .agg(F.sum("pos").alias("pos_n"), F.sum("neg").alias("neg_n"))
-        .select(
-            *names,
-            "part",
-            F.coalesce(F.sum("neg_n").over(before), F.lit(0)).alias("neg_before"),
-            F.sum("pos_n").over(whole).alias("all_pos"),
-            F.sum("neg_n").over(whole).alias("all_neg"),
-        )
-    )
-    inside = Window.partitionBy(*names, "part").orderBy("s").rowsBetween(
-        Window.unboundedPreceding, -1
+
+
+def _with_area(tally: DataFrame, by: list[str]) -> tuple[DataFrame, Column]:
+    """The scored rows of a tally with the area each adds, and the area as an aggregate.
+
+    Ties count half; the negatives below a score come from a tree of range totals.
+    """
+    scored = running_before(tally.where(F.col("s").isNotNull()), by, "s", ["neg"])
+    share = F.col("pos") * (F.col("before_neg") + F.col("neg") / 2)
+    sides = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return scored.withColumn("area", share), ratio(F.sum("area"), sides)
+
+
+def metrics(
+    df: DataFrame, label: str, probability: str, by: list[str], threshold: float = 0.5
+) -> DataFrame:
+    """Counts, rates and ROC AUC per group, all from one tally of the scores."""
+    tally = _tally(df, label, probability, by)
+    said = positive("s", threshold) == 1
+    blank = tally.where(F.col("s").isNull()).withColumns(
+        {"before_neg": F.lit(0).cast("bigint"), "area": F.lit(0.0), "pos": F.lit(0).cast("bigint"), "neg": F.lit(0).cast("bigint")}
     )
-    below = F.col("neg_before") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
-    area = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
-    # Joined on the window's own keys: the join's shuffle is the one the window needs.
-    out = (
-        ranged.join(totals, [*names, "part"])
-        .withColumn("below", below)
-        .groupBy(*names)
-        .agg(area.alias("a"), F.max("all_pos").alias("p"), F.max("all_neg").alias("n"))
-        .select(
-            *names,
-            ratio(F.col("a"), F.col("p").cast("double") * F.col("n").cast("double")).alias(
-                "roc_auc"
-            ),
+    scored, area = _with_area(tally, by)
+
+    def counted(which: str, when: Column) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col(which))), F.lit(0).cast("bigint"))
+
+    counts = (
+        scored.unionByName(blank)
+        .groupBy(*by)
+        .agg(
+            counted("neg", ~said).alias("tn"),
+            counted("neg", said).alias("fp"),
+            counted("pos", ~said).alias("fn"),
+            counted("pos", said).alias("tp"),
+            area.alias("roc_auc"),
         )
     )
-    return out if by else out.drop("_g")
+    out = rates(counts)
+    return out.select(*[c for c in out.columns if c != "roc_auc"], "roc_auc")
+
+
+def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    """Area under the ROC curve with ties counted half; 0 when one class is missing.
+
+    Rows are first collapsed to one per (group, score); rows without a label count nowhere.
+    """
+    scored, area = _with_area(_tally(df.where(F.col(label).isNotNull()), label, score, by), by)
+    return scored.groupBy(*by).agg(area.alias("roc_auc"))
 
 
 def class_report(
