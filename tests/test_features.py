@@ -102,7 +102,7 @@ def test_too_many_categories_is_an_error(spark):
 def test_label_codes_beyond_the_lookup_bound(spark):
     df = frame(spark, [f"{i:03d}" for i in range(200)] + [None])
     small = features.label_codes(df, "category").collect()
-    large = features.label_codes(df, "category", limit=50).collect()
+    large = features.label_codes(df, "category", range_rows=50).collect()
     assert sorted(map(tuple, small)) == sorted(map(tuple, large))
     encoded = features.label_encode(df, {"category": features.label_codes(df, "category", 50)})
     assert sorted(r[0] for r in encoded.collect()) == list(range(201))
@@ -172,3 +172,23 @@ def test_weighted_bins_match_repeated_rows(spark):
     repeated = sorted(v for v, w in rows for _ in range(w))
     expected = [repeated[math.ceil(len(repeated) * i / 4) - 1] for i in (1, 2, 3)]
     assert binning.bin_edges(df, "y", 4, "quantile", "w")[1:-1] == expected
+
+
+def test_wide_dictionary_and_sparse_one_hot(spark):
+    """5,000 categories in ranges of 700; a hot value, NULL, an unseen value and clashing names."""
+    names = [f"c{i % 5000}" for i in range(6000)] + ["c1"] * 3000 + [None]
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(names)], "k int, category string, code string")
+    codes = features.label_codes(df, "category", range_rows=700)
+    ordered = sorted({v or "nan" for v in names})
+    assert {r["category"]: r["code"] for r in codes.collect()} == {v: i for i, v in enumerate(ordered)}
+    for first in (False, True):
+        seen = spark.createDataFrame([(1, "c1", "x"), (2, "other", "x"), (3, None, "x"), (4, ordered[0], "x")], df.schema)
+        made = features.one_hot_sparse(seen, {"category": codes}, drop_first=first)
+        assert made.columns == ["k", "code", "category_hot"]
+        rows = {r["k"]: r["category_hot"] for r in made.collect()}
+        assert {r["size"] for r in rows.values()} == {len(ordered) - first}
+        assert rows[1]["indices"] == [ordered.index("c1") - first] and rows[1]["values"] == [1.0]
+        assert rows[2]["indices"] == rows[2]["values"] == []
+        assert rows[3]["indices"] == [ordered.index("nan") - first]
+        assert rows[4]["indices"] == ([] if first else [0])
+    assert features.label_codes(df.limit(0), "category").count() == 0

@@ -364,3 +364,13 @@ def test_small_helpers(spark):
         scalars.time_stamped_name("run", F.lit("2024-01-02 03:04:05").cast("timestamp"))
     ).first()[0]
     assert name == "run_20240102_030405"
+
+
+def test_lookup_is_broadcast_only_within_its_bytes(spark):
+    left = spark.range(50).select(F.col("id").alias("k"))
+    wide = left.select("k", F.repeat(F.lit("x"), 1000).alias("t"), F.array("k").alias("l"), F.create_map(F.lit("a"), F.array(F.lit("b"))).alias("m"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    for right, small, large in ((wide, 100_000, 40_000), (left.withColumn("n", F.lit(1)), 10_000, 1_000)):
+        for bound, expected in ((small, True), (large, False)):
+            joined = lookup_join(left, right, "k", max_bytes=bound)
+            assert hinted(joined) == expected and joined.count() == 50

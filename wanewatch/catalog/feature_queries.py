@@ -94,6 +94,35 @@ def label_encode(spark, folder):
     return features.label_encode(df, codes)
 
 
+@query(
+    "SELECT o_orderkey::VARCHAR AS category, (row_number() OVER (ORDER BY o_orderkey::VARCHAR)) - 1 AS code "
+    "FROM (SELECT DISTINCT o_orderkey FROM orders)"
+)
+def dictionary_codes(spark, folder):
+    """Codes of a column with as many categories as there are orders."""
+    return features.label_codes(table(spark, folder, "orders"), "o_orderkey")
+
+
+@query(
+    """WITH codes AS (
+  SELECT v, row_number() OVER (ORDER BY v) - 1 AS code, count(*) OVER () AS size
+  FROM (SELECT DISTINCT o_custkey::VARCHAR AS v FROM orders))
+SELECT c_custkey, coalesce(size, (SELECT count(DISTINCT o_custkey) FROM orders))::INTEGER AS size, code::BIGINT AS hot,
+  CASE WHEN code > 0 THEN code - 1 END::BIGINT AS dummy FROM customer LEFT JOIN codes ON c_custkey::VARCHAR = v"""
+)
+def one_hot_wide(spark, folder):
+    """Customers one-hot over the customers with orders; those without have no index."""
+    codes = features.label_codes(table(spark, folder, "orders"), "o_custkey")
+    df = table(spark, folder, "customer").select("c_custkey", F.col("c_custkey").alias("a"), F.col("c_custkey").alias("b"))
+    made = features.one_hot_sparse(features.one_hot_sparse(df, {"a": codes}), {"b": codes}, drop_first=True)
+    return made.select(
+        "c_custkey",
+        F.col("a_hot.size").alias("size"),
+        F.get("a_hot.indices", F.lit(0)).cast("bigint").alias("hot"),
+        F.get("b_hot.indices", F.lit(0)).cast("bigint").alias("dummy"),
+    )
+
+
 TOKEN = "md5('PaymentMethod=' || coalesce(\"PaymentMethod\", 'nan'))"
 
 

@@ -10,14 +10,16 @@ from pyspark.ml import Transformer
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanewatch.functions import scalars
-from wanewatch.session import LOOKUP_ROWS, lookup_join
+from wanewatch.session import cut_lineage, lookup_join
 
-# Categories turned into literal columns; wider vocabularies use the indexer or hashing.
+# Categories turned into literal columns; wider vocabularies use ``one_hot_sparse``.
 WIDE_CATEGORIES = 1_000
+# Sorted values numbered by one task of a dictionary.
+DICTIONARY_RANGE = 50_000
 MISSING_CATEGORY = "nan"
 
 
@@ -52,7 +54,7 @@ def categories(df: DataFrame, cols: list[str], limit: int = WIDE_CATEGORIES) ->
     found = {c: sorted(r["v"] for r in rows if r["g"] == c) for c in cols}
     wide = [c for c, values in found.items() if len(values) > limit]
     if wide or len(rows) > limit * len(cols):
-        raise ValueError(f"too many categories for one column each: {wide or cols}")
+        raise ValueError(f"too many categories for one column each, use one_hot_sparse: {wide or cols}")
     return found
 
 
@@ -89,23 +91,60 @@ def dummies(df: DataFrame, fitted: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def label_codes(df: DataFrame, column: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+def label_codes(df: DataFrame, column: str, range_rows: int = DICTIONARY_RANGE) -> DataFrame:
     """(category, code): position of each category in sorted order, NULL counted as nan.
 
-    A vocabulary within ``limit`` is numbered in one small window. A larger one is sorted
-    across partitions and numbered by partition offsets.
+    The distinct values are dealt into ranges of about ``range_rows`` sorted values and written;
+    a code is the place inside the range plus the sizes of the ranges before it.
     """
-    values = df.select(
-        F.coalesce(scalars.text(column), F.lit(MISSING_CATEGORY)).alias("category")
-    ).distinct()
-    few = values.take(limit + 1)
-    spark = df.sparkSession
-    schema = "category string, code bigint"
-    if len(few) <= limit:
-        ordered = sorted(r["category"] for r in few)
-        return spark.createDataFrame([(v, i) for i, v in enumerate(ordered)], schema)
-    numbered = values.orderBy("category").rdd.zipWithIndex()
-    return numbered.map(lambda pair: (pair[0][0], pair[1])).toDF(schema)
+    values = cut_lineage(
+        df.select(
+            F.coalesce(scalars.text(column), F.lit(MISSING_CATEGORY)).alias("category")
+        ).distinct()
+    )
+    ranges = max(1, math.ceil(values.count() / range_rows))
+    dealt = cut_lineage(
+        values.repartitionByRange(ranges, "category").withColumn("__range", F.spark_partition_id())
+    )
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy("__range")
+        .agg(F.count("*").alias("n"))
+        .select("__range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__offset"))
+    )
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("category")) - 1
+    return (
+        lookup_join(dealt.withColumn("__place", place), offsets, "__range")
+        .select("category", (F.col("__offset") + F.col("__place")).cast("bigint").alias("code"))
+    )
+
+
+def one_hot_sparse(
+    df: DataFrame, codes: dict[str, DataFrame], *, drop_first: bool = False
+) -> DataFrame:
+    """One-hot columns of any width: ``<c>_hot`` is a struct of size, indices and values.
+
+    ``codes`` are tables of ``label_codes``. An unseen value has no index. ``drop_first`` leaves
+    out the first category, as ``dummies`` does. The source columns go; NULL is the category nan.
+    """
+    first = int(drop_first)
+    for column, table in codes.items():
+        width = max(table.count() - first, 0)
+        value = F.coalesce(scalars.text(column), F.lit(MISSING_CATEGORY))
+        side = table.select(F.col("category").alias("__category"), F.col("code").alias("__code"))
+        at = (F.col("__code") - first).cast("int")
+        hot = at >= 0
+        vector = F.struct(
+            F.lit(width).alias("size"),
+            F.when(hot, F.array(at)).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(hot, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+        )
+        df = (
+            lookup_join(df.withColumn("__category", value), side, "__category", "left")
+            .withColumn(f"{column}_hot", vector)
+            .drop("__category", "__code", column)
+        )
+    return df
 
 
 def label_encode(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:

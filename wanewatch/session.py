@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup side is broadcast only when it was counted and has at most this many rows.
+# A lookup side is broadcast only when it was measured and has at most this many rows and bytes.
 LOOKUP_ROWS = 100_000
+LOOKUP_BYTES = 32 * 2**20
+SLOT_BYTES = 16
 
 
 def build_session(app: str = "wanewatch", cores: int = 8, **conf: str) -> SparkSession:
@@ -58,20 +61,58 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def value_bytes(value: Column, kind: T.DataType) -> Column | int:
+    """Bytes a value takes; a plain number where the type alone tells."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint") + SLOT_BYTES
+    if isinstance(kind, T.StructType):
+        return sum((value_bytes(value[f.name], f.dataType) for f in kind.fields), SLOT_BYTES)
+    if isinstance(kind, T.ArrayType):
+        return _list_bytes(value, kind.elementType)
+    if isinstance(kind, T.MapType):
+        keys = _list_bytes(F.map_keys(value), kind.keyType)
+        return keys + _list_bytes(F.map_values(value), kind.valueType)
+    return SLOT_BYTES
+
+
+def _list_bytes(value: Column, kind: T.DataType) -> Column:
+    probe = value_bytes(F.lit(None).cast(kind), kind)
+    if isinstance(probe, int):
+        inner = F.size(value).cast("bigint") * probe
+    else:
+        inner = F.aggregate(
+            value,
+            F.lit(0).cast("bigint"),
+            lambda total, x: total + F.lit(value_bytes(x, kind)).cast("bigint"),
+        )
+    return F.greatest(F.coalesce(inner, F.lit(0)), F.lit(0)).cast("bigint") + SLOT_BYTES
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: str | list[str],
     how: str = "inner",
     max_rows: int = LOOKUP_ROWS,
+    max_bytes: int = LOOKUP_BYTES,
 ) -> DataFrame:
     """Join a table to a lookup side, broadcasting the lookup only if it is small.
 
-    The lookup is fetched up to ``max_rows``; within the bound the fetched rows are
-    broadcast (so they are computed once). Beyond it the plain join runs and adaptive
-    execution splits skewed partitions.
+    Rows of fixed width are fetched up to the bound and broadcast from there. Rows with texts
+    or lists are written once and their bytes summed before anything is fetched. Beyond either
+    bound the plain join runs and adaptive execution splits skewed partitions.
     """
-    rows = right.take(max_rows + 1)
-    if len(rows) <= max_rows:
-        right = F.broadcast(right.sparkSession.createDataFrame(rows, right.schema))
+    width = sum(
+        (value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in right.schema.fields), SLOT_BYTES
+    )
+    if isinstance(width, int):
+        bound = min(max_rows, max_bytes // width)
+        rows = right.take(bound + 1)
+        if len(rows) <= bound:
+            right = F.broadcast(right.sparkSession.createDataFrame(rows, right.schema))
+    else:
+        right = cut_lineage(right)
+        n, size = right.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+        if n <= max_rows and size <= max_bytes:
+            right = F.broadcast(right)
     return left.join(right, on, how)
