@@ -374,3 +374,24 @@ def test_lookup_is_broadcast_only_within_its_bytes(spark):
         for bound, expected in ((small, True), (large, False)):
             joined = lookup_join(left, right, "k", max_bytes=bound)
             assert hinted(joined) == expected and joined.count() == 50
+
+
+def test_weights_beyond_the_grid(spark):
+    """Only a narrow band of weights, between the points of the grid, calls every row right."""
+    import numpy as np
+
+    rng = np.random.default_rng(21)
+    p = rng.random((400, 3))
+    y = (p @ np.array([0.61, 0.02, 0.37]) > 0.5).astype(int)
+    df = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(y, p)] + [(1, None, 0.5, 0.5)], "label int, a double, b double, c double").repartition(3)
+    found = weights.optimise_weights(df, "label", ["a", "b", "c"])
+    w = np.array(found["weights"])
+    said = p @ w > 0.5
+    f1 = 2 * (said & (y == 1)).sum() / (said.sum() + y.sum())
+    assert found["score"] == pytest.approx(f1) and found["score"] > found["grid_score"]
+    assert found["score"] > 0.99 and found["passes"] <= 20
+    assert abs(w.sum() - 1) < 1e-9 and (w >= 0).all()
+    kept = weights.optimise_weights(df, "label", ["a", "b", "c"], "accuracy", bounds=(0.2, 0.5), passes=6)
+    assert all(0.2 - 1e-9 <= x <= 0.5 + 1e-9 for x in kept["weights"]) and kept["passes"] <= 6
+    nothing = weights.optimise_weights(df.limit(0), "label", ["a", "b", "c"])
+    assert nothing == {"weights": [1 / 3] * 3, "score": 0.0, "grid_score": 0.0, "passes": 1}

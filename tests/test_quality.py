@@ -137,3 +137,21 @@ def test_distinct(spark, approximate):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
     assert clean.distinct_count(df, "c", approximate).first()[0] == 2
     assert clean.distinct_values(df, "c").count() == 2
+
+
+def test_membership_in_a_table_of_100_000_values(spark):
+    """A hot value, NULLs, values outside, another type, a set beyond the broadcast bound, no rows."""
+    allowed = spark.range(100_001).select((F.col("id") * 2).cast("string").alias("v"))
+    rows = [4] * 500 + [None] * 20 + list(range(0, 200)) + [999_999]
+    df = spark.createDataFrame([(x,) for x in rows], "k bigint")
+    results = ex.run_checks(df, [ex.InTable("k", allowed, "v", 0.85), ex.InTable("gone", allowed, "v"), ex.NotNull("k")])
+    first, gone, last = results.orderBy("check_id").collect()
+    assert first["passed"] and not gone["passed"] and not last["passed"]
+    assert first["details"]["in_set_ratio"] == str(round(600 / 701, 6)) and first["details"]["out_of_set_count"] == "101"
+    outside = sorted(str(x) for x in [*range(1, 200, 2), 999_999])[:10]
+    assert first["details"]["unexpected_values"] == ",".join(outside)
+    few = ex.run_checks(df, [ex.InTable("k", allowed.where("v = '4'"), "v", 1.0), ex.InSet("k", [4], 1.0)]).orderBy("check_id").collect()
+    assert few[0]["details"]["in_set_ratio"] == few[1]["details"]["in_set_ratio"]
+    assert few[0]["details"]["unexpected_values"] == few[1]["details"]["unexpected_values"]
+    empty = ex.run_checks(df.limit(0), [ex.InTable("k", allowed, "v")]).first()
+    assert not empty["passed"] and empty["details"]["unexpected_values"] == ""

@@ -386,6 +386,37 @@ def expectation_own(spark, folder):
     return results.select("check_id", "check_name", "passed", "severity", share)
 
 
+MEMBERS = [("l_orderkey", "orders", "o_orderkey", "o_orderstatus = 'F'", 0.4), ("l_suppkey", "supplier", "s_suppkey", "s_suppkey > 0", 1.0), ("l_partkey", "part", "p_partkey", "p_size > 25", 0.9)]
+
+
+def _member_sql(i: int, c: str, other: str, key: str, rule: str, mostly: float) -> str:
+    inside = f"{c} IN (SELECT {key} FROM {other} WHERE {rule})"
+    return f"""SELECT {i + 1} AS check_id, 'expect_column_values_to_be_in_set({c})' AS check_name,
+  avg(({inside})::INTEGER) >= {mostly} AS passed, round(avg(({inside})::INTEGER), 6) AS share,
+  count(*) FILTER (WHERE NOT {inside}) AS outside,
+  (SELECT coalesce(string_agg(v, ',' ORDER BY v), '') FROM (
+    SELECT DISTINCT {c}::VARCHAR AS v FROM lineitem WHERE NOT {inside} ORDER BY v LIMIT 10)) AS unexpected
+FROM lineitem"""
+
+
+@query(" UNION ALL ".join(_member_sql(i, *m) for i, m in enumerate(MEMBERS)))
+def expectation_tables(spark, folder):
+    """Keys of the lines against sets that are tables: most, all and too few inside."""
+    suite = expectations.Suite("lineitem")
+    for column, other, key, rule, mostly in MEMBERS:
+        allowed = table(spark, folder, other).where(rule)
+        suite.expect(expectations.InTable(column, allowed, key, mostly))
+    details = F.col("details")
+    return suite.results(table(spark, folder, "lineitem")).select(
+        "check_id",
+        "check_name",
+        "passed",
+        details["in_set_ratio"].cast("double").alias("share"),
+        details["out_of_set_count"].cast("bigint").alias("outside"),
+        details["unexpected_values"].alias("unexpected"),
+    )
+
+
 PROFILED = {
     "none": ("SELECT o_orderkey FROM orders WHERE o_orderkey < 0", ["o_orderkey"]),
     "repeated": ("SELECT l_returnflag, l_linestatus FROM lineitem", ["l_returnflag", "l_linestatus"]),

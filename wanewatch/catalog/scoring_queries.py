@@ -196,6 +196,28 @@ def weight_search_four(spark, folder):
     return found.withColumns({c: r6(c) for c in [*[f"w_{n}" for n in names], "accuracy", "f1"]})
 
 
+@query(
+    f"""WITH searched AS ({_search_sql(FOUR, ["p_a", "p_b", "p_c", "p_d"], "f")})
+SELECT max(f1) AS grid_f1, TRUE AS on_simplex, TRUE AS not_below, TRUE AS within, TRUE AS recomputed FROM searched"""
+)
+def weight_optimise(spark, folder):
+    """Weights refined on the simplex; the vote is scored again with the weights that were found."""
+    df = scored_subscribers(spark, folder)
+    names = ["p_a", "p_b", "p_c", "p_d"]
+    found = weights.optimise_weights(df, "label", names)
+    w = found["weights"]
+    vote = scalars.weighted_mean(names, w)
+    counts = evaluate.rates(evaluate.confusion(df, "label", scalars.positive(vote), []))
+    valid = abs(sum(w) - 1) < 1e-9 and all(0 <= x <= 1 for x in w)
+    return counts.select(
+        F.round(F.lit(found["grid_score"]), 6).alias("grid_f1"),
+        F.lit(valid).alias("on_simplex"),
+        (F.col("f1") >= F.lit(found["grid_score"])).alias("not_below"),
+        F.lit(found["passes"] <= 20).alias("within"),
+        (F.abs(F.col("f1") - F.lit(found["score"])) < 1e-12).alias("recomputed"),
+    )
+
+
 @query(
     on_scored(
         f"SELECT model, {RATE_COLUMNS}, roc_auc, CASE model WHEN 'b' THEN 0.5::DOUBLE WHEN 'c' THEN 0.3::DOUBLE "

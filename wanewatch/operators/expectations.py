@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanewatch.operators.clean import column_set
+from wanewatch.session import lookup_join
 from wanewatch.sources.subscribers import SUBSCRIBER_COLUMNS
 
 # Declared type names and the Spark types each one accepts.
@@ -62,9 +63,18 @@ class Check:
         return {}
 
     def distinct_aggregates(self) -> bool:
-        """Whether the check needs a grouped pass over its column."""
+        """Whether the check needs a pass of its own over its column."""
         return False
 
+    def counted(self, df: DataFrame) -> DataFrame:
+        """One row of aggregates of a check with a pass of its own."""
+        return (
+            df.where(F.col(self.column).isNotNull())
+            .groupBy(self.column)
+            .agg(F.count("*").alias("n"))
+            .agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("values"))
+        )
+
     def value_set(self) -> list | None:
         return None
 
@@ -204,6 +214,65 @@ class InSet(Check):
         return ratio >= self.mostly, details, _error()
 
 
+@dataclass
+class InTable(Check):
+    """Membership in a set that is a table; for sets too long for a list of literals.
+
+    Values are tallied before they meet the set, so a hot value is one row; the set is
+    broadcast only within measured rows and bytes.
+    """
+
+    allowed: DataFrame | None = None
+    allowed_column: str = ""
+    mostly: float = 1.0
+    title = "expect_column_values_to_be_in_set"
+
+    def distinct_aggregates(self):
+        return True
+
+    def counted(self, df):
+        kind = df.schema[self.column].dataType
+        source = self.allowed_column or self.column
+        allowed = (
+            self.allowed.select(F.col(source).try_cast(kind).alias("__value"))
+            .where(F.col("__value").isNotNull())
+            .distinct()
+            .withColumn("__allowed", F.lit(True))
+        )
+        tally = (
+            df.where(F.col(self.column).isNotNull())
+            .groupBy(F.col(self.column).alias("__value"))
+            .agg(F.count("*").alias("n"))
+        )
+        found = lookup_join(tally, allowed, "__value", "left")
+        inside = F.when(F.col("__allowed"), F.col("n"))
+        texts = (
+            found.where(F.col("__allowed").isNull())
+            .select(F.col("__value").cast("string").alias("__value"))
+            .orderBy("__value")
+            .limit(UNEXPECTED_SHOWN)
+        )
+        none = F.lit(0).cast("bigint")
+        counts = found.agg(
+            F.coalesce(F.sum("n"), none).alias("values"), F.coalesce(F.sum(inside), none).alias("inside")
+        ).withColumn("outside", F.lit(""))
+        shown = texts.agg(F.array_join(F.array_sort(F.collect_list("__value")), ",").alias("outside"))
+        both = counts.unionByName(shown.select(none.alias("values"), none.alias("inside"), "outside"))
+        return both.agg(*[F.max(c).alias(c) for c in ("values", "inside", "outside")])
+
+    def outcome(self, df, at):
+        ratio = F.coalesce(F.try_divide(at("inside"), at("values")), F.lit(0.0))
+        details = {
+            "column": self.column,
+            "expected_set": f"table column {self.allowed_column or self.column}",
+            "in_set_ratio": F.round(ratio, 6),
+            "out_of_set_count": at("values") - at("inside"),
+            "unexpected_values": at("outside"),
+            "threshold": self.mostly,
+        }
+        return ratio >= self.mostly, details, _error()
+
+
 @dataclass
 class Unique(Check):
     mostly: float = 1.0
@@ -271,8 +340,8 @@ class RowCountBetween(Check):
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """One result row per check, in the order given.
 
-    All plain aggregates share one pass. Each uniqueness check adds one pass grouped by its
-    column, and all membership checks together one pass over the values outside their sets.
+    All plain aggregates share one pass. Each check of uniqueness or of membership in a table adds
+    one pass grouped by its column, and all other membership checks together one pass over the values outside their sets.
     """
     shared: dict[str, Column] = {}
     keys: dict[tuple[int, str], str] = {}
@@ -308,7 +377,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
         parts.append(_with_unexpected(df, plain, sets) if sets else plain)
     for i, check in enumerate(checks):
         if check.present(df) and check.distinct_aggregates():
-            parts.append(_uniqueness(df, i, check))
+            parts.append(_own_pass(df, i, check))
     return reduce(DataFrame.unionByName, parts).orderBy("check_id")
 
 
@@ -357,13 +426,8 @@ def _with_unexpected(df: DataFrame, rows: DataFrame, sets: list) -> DataFrame:
     )
 
 
-def _uniqueness(df: DataFrame, i: int, check: Check) -> DataFrame:
-    counts = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count("*").alias("n"))
-        .agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("values"))
-    )
+def _own_pass(df: DataFrame, i: int, check: Check) -> DataFrame:
+    counts = check.counted(df)
     passed, details, severity = check.outcome(df, F.col)
     return counts.select(_row(i, check, passed, _map(details), severity).alias("r")).select("r.*")
 

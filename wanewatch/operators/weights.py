@@ -129,3 +129,80 @@ def best_weights(
     if not rows or rows[0][metric] == 0.0:
         return [1.0 / len(probabilities)] * len(probabilities)
     return [rows[0][f"w_{c}"] for c in probabilities]
+
+
+def optimise_weights(
+    df: DataFrame,
+    label: str,
+    probabilities: list[str],
+    metric: str = "f1",
+    *,
+    grid: list[tuple[float, ...]] | None = None,
+    bounds: tuple[float, float] = (0.0, 1.0),
+    passes: int = 20,
+    finest: float = 1e-3,
+) -> dict:
+    """Weights within ``bounds`` that add up to one and score best, found by a pattern search.
+
+    The first pass scores the grid; each later one scores, together, every transfer of a step,
+    half and a quarter of it from one weight to another, around the best so far. A pass without
+    a gain cuts the step to an eighth; below ``finest`` or after ``passes`` the search ends. The
+    score of a vote is a step function of the weights, so differences stand in for gradients.
+
+    Returns ``weights``, ``score``, ``grid_score`` and ``passes``. Rows that cannot be scored,
+    or bounds that no vote meets, give equal weights and 0.
+    """
+    if metric not in ("accuracy", "f1"):
+        raise ValueError(f"unknown metric: {metric}")
+    size = len(probabilities)
+    low, high = bounds
+    grid = grid or (three_way_grid() if size == 3 else simplex_grid(size))
+    tried = [w for w in grid if all(low - 1e-12 <= x <= high + 1e-12 for x in w)]
+    even = (1.0 / size,) * size
+    best, score, used, step = even, 0.0, 0, 1.0 / SIMPLEX_STEP
+    grid_score = None
+    while tried and used < passes:
+        used += 1
+        top, at = _best_candidate(score_candidates(df, label, probabilities, tried), metric)
+        gained = top > score
+        if gained:
+            best, score = tried[at], top
+        if grid_score is None:
+            grid_score = score
+            if score == 0.0:
+                break
+        elif not gained:
+            step /= 8
+        if step < finest:
+            break
+        tried = _transfers(best, step, low, high)
+    return {"weights": list(best), "score": score, "grid_score": grid_score or 0.0, "passes": used}
+
+
+def _best_candidate(counts: DataFrame, metric: str) -> tuple[float, int]:
+    """Score and number of the first best candidate; one row per candidate reaches the driver."""
+    top, first = 0.0, 0
+    for row in sorted(counts.collect(), key=lambda r: r["candidate"]):
+        wrong = row["fp"] + row["fn"]
+        if metric == "f1":
+            above, below = 2 * row["tp"], 2 * row["tp"] + wrong
+        else:
+            above, below = row["n"] - wrong, row["n"]
+        value = above / below if below else 0.0
+        if value > top:
+            top, first = value, row["candidate"]
+    return top, first
+
+
+def _transfers(best: tuple, step: float, low: float, high: float) -> list[tuple[float, ...]]:
+    """Moves of a step, half and a quarter of it between two weights, cut at the bounds."""
+    found = []
+    for part in (step, step / 2, step / 4):
+        for i in range(len(best)):
+            for j in range(len(best)):
+                moved = min(part, best[i] - low, high - best[j])
+                if i != j and moved > 0:
+                    w = list(best)
+                    w[i], w[j] = w[i] - moved, w[j] + moved
+                    found.append(tuple(w))
+    return list(dict.fromkeys(found))
