@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from wanewatch.catalog.registry import h13, on_clean, query, r6
-from wanewatch.operators import binning, features, neighbors, rebalance, split
+from wanewatch.operators import binning, features, neighbor_graph, neighbors, rebalance, split
 from wanewatch.operators.clean import impute, medians, modes
 from wanewatch.sources.subscribers import clean_subscribers
 from wanewatch.sources.tables import table
@@ -393,6 +393,34 @@ def knn_hashing(spark, folder):
     return near.withColumn("distance", r6("distance"))
 
 
+@query(
+    f"""WITH {POINTS},
+gaps AS (SELECT a.vec_id AS id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS d FROM points a, points b WHERE a.vec_id <> b.vec_id),
+best AS (SELECT id, d FROM gaps QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, neighbor) <= 5)
+SELECT count(DISTINCT id) AS queries, count(*) AS neighbours, round(avg(d), 6) AS exact_distance,
+  TRUE AS recall_reached, TRUE AS distances_hold FROM best"""
+)
+def knn_graph(spark, folder):
+    """The refined graph against the exact search: recall of at least 0.95, no distance too small."""
+    vectors = table(spark, folder, "embeddings")
+    found = neighbor_graph.nearest_by_graph(vectors, "vec_id", "embedding", 5)
+    exact = neighbors.nearest(vectors, "vec_id", "embedding", 5).withColumnRenamed("distance", "d")
+    met = exact.join(found.select("id", "neighbor", "distance"), ["id", "neighbor"], "left")
+    place = exact.select("id", "rank", "d").join(found.select("id", "rank", "distance"), ["id", "rank"])
+    bad = place.agg(F.count_if(F.col("distance") < F.col("d") - 1e-9).alias("bad"), F.lit(1).alias("one"))
+    return (
+        met.agg(
+            F.countDistinct("id").alias("queries"),
+            F.count("*").alias("neighbours"),
+            r6(F.avg("d")).alias("exact_distance"),
+            (F.count("distance") / F.count("*") >= 0.95).alias("recall_reached"),
+            F.lit(1).alias("one"),
+        )
+        .join(bad, "one")
+        .select("queries", "neighbours", "exact_distance", "recall_reached", (F.col("bad") == 0).alias("distances_hold"))
+    )
+
+
 def _smote_sql() -> str:
     order = h13("'42|' || vec_id")
     pick = h13("'42n|' || id || '|' || copy")
