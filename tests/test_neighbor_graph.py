@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wanewatch.operators import neighbor_graph
+from wanewatch.operators import neighbor_graph, rebalance
 
 
 def vectors(spark, m, labels=None):
@@ -51,3 +51,14 @@ def test_copies_groups_nulls_and_few_rows(spark):
     assert neighbor_graph.nearest_by_graph(df.limit(0), "id", "v").count() == 0
     two = neighbor_graph.nearest_by_graph(df.where(F.col("id").isin(7, 260)), "id", "v")
     assert sorted((r["id"], r["neighbor"]) for r in two.collect()) == [(7, 260), (260, 7)]
+
+
+def test_rebalancing_with_the_graph(spark):
+    rng = np.random.default_rng(3)
+    labels = (np.arange(160) % 8 == 0).astype(int)
+    m = rng.normal(size=(160, 2)) + labels[:, None] * 20
+    df = vectors(spark, m, labels)
+    one = rebalance.smote(df, "id", "label", "v", search=neighbor_graph.nearest_by_graph)
+    other = rebalance.smote(df, "id", "label", "v")
+    key = lambda made: sorted((r["id"], r["copy"], r["neighbor"]) for r in made.collect())
+    assert key(one) == key(other) and one.count() == 120

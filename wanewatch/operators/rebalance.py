@@ -5,6 +5,8 @@ Rows carry (key bigint, label, vector array<double>). Apply to the training part
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from wanewatch.operators.split import SEED, class_sizes, order_hash, undersample
 NEIGHBORS = 5
 STRATEGIES = ("SMOTE", "ADASYN", "undersample")
 
+# ``neighbors.nearest`` or ``neighbor_graph.nearest_by_graph``, which take the same arguments.
+Search = Callable[..., DataFrame]
+
 
 def smote_quota(df: DataFrame, key: str, label: str, seed: int = SEED) -> DataFrame:
     """(id, label, copies): synthetic rows each original has to produce.
@@ -82,22 +87,27 @@ def synthesise(
 
 
 def smote(
-    df: DataFrame, key: str, label: str, vector: str, *, k: int = NEIGHBORS, seed: int = SEED
-) -> DataFrame:
-    """Synthetic rows that raise every smaller class to the size of the largest."""
+    df: DataFrame, key: str, label: str, vector: str, *, k: int = NEIGHBORS, seed: int = SEED,
+    search: Search = nearest,
+) -> DataFrame:
+    """Synthetic rows that raise every smaller class to the size of the largest.
+
+    ``search`` finds the neighbours; large tables take ``nearest_by_graph``.
+    """
     sizes = class_sizes(df, label)
     largest = max(sizes.values())
     small = [g for g, n in sizes.items() if n < largest]
     if any(sizes[g] < 2 for g in small):
         raise ValueError("a class with one row has no neighbours to interpolate")
     minority = df.where(F.col(label).cast("string").isin(small))
-    near = nearest(minority, key, vector, k, group=label)
+    near = search(minority, key, vector, k, group=label)
     return synthesise(minority, key, vector, smote_quota(df, key, label, seed), near, seed)
 
 
 def adasyn(
-    df: DataFrame, key: str, label: str, vector: str, *, k: int = NEIGHBORS, seed: int = SEED
-) -> DataFrame:
+    df: DataFrame, key: str, label: str, vector: str, *, k: int = NEIGHBORS, seed: int = SEED,
+    search: Search = nearest,
+) -> DataFrame:
     """Like ``smote`` for two classes, but rows among majority neighbours produce more.
 
     Falls back to ``smote`` when no minority row has a majority neighbour.
@@ -113,7 +123,7 @@ def adasyn(
     )
     minority = df.where(is_rare)
     around = (
-        nearest(df, key, vector, k)
+        search(df, key, vector, k)
         .join(minority.select(F.col(key).alias("id")), "id", "left_semi")
         .join(labels, "neighbor")
         .groupBy("id")
@@ -121,23 +131,24 @@ def adasyn(
     )
     total = around.agg(F.sum("hardness")).first()[0]
     if sizes[rare] < 2 or not total:
-        return smote(df, key, label, vector, k=k, seed=seed)
+        return smote(df, key, label, vector, k=k, seed=seed, search=search)
     quota = around.withColumn(
         "copies", F.bround(F.col("hardness") / F.lit(total) * missing).cast("int")
     ).where(F.col("copies") > 0)
     if quota.isEmpty():  # every share rounds to nothing
-        return smote(df, key, label, vector, k=k, seed=seed)
+        return smote(df, key, label, vector, k=k, seed=seed, search=search)
     quota = (
         quota
         .join(minority.select(F.col(key).alias("id"), F.col(label).alias("label")), "id")
     )
-    near = nearest(minority, key, vector, k)
+    near = search(minority, key, vector, k)
     return synthesise(minority, key, vector, quota, near, seed)
 
 
 def rebalance(
-    df: DataFrame, key: str, label: str, vector: str, strategy: str | None, seed: int = SEED
-) -> DataFrame:
+    df: DataFrame, key: str, label: str, vector: str, strategy: str | None, seed: int = SEED,
+    search: Search = nearest,
+) -> DataFrame:
     """Originals plus synthetic rows, or fewer originals; any other strategy changes nothing.
 
     Returns (key, label, vector, copy); ``copy`` is 0 for originals.
@@ -149,7 +160,7 @@ def rebalance(
     if strategy not in STRATEGIES:
         return originals
     make = smote if strategy == "SMOTE" else adasyn
-    made = make(rows, key, label, vector, seed=seed)
+    made = make(rows, key, label, vector, seed=seed, search=search)
     return originals.unionByName(
         made.select(
             F.col("id").alias(key),
