@@ -5,15 +5,19 @@ from __future__ import annotations
 import random
 from itertools import product
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wanewatch.operators.evaluate import fold_summary, metrics
 from wanewatch.operators.split import class_weights, folds
 from wanewatch.plans import presets
+from wanewatch.plans.forest import BootstrapForest
+from wanewatch.plans.trainer import out_of_fold
 
 SEED = 42
 PARALLEL = 4
@@ -43,10 +47,11 @@ FULL = {
     },
     "random_forest": {
         "numTrees": [50, 100, 200, 300],
-        "maxDepth": [5, 10, 15, 20],
+        "maxDepth": [5, 10, 15, 20, 0],
+        "minInstancesPerSplit": [2, 5, 10, 20],
         "minInstancesPerNode": [1, 2, 4, 8],
         "featureSubsetStrategy": ["sqrt", "log2", "all"],
-        "weightCol": [None, "weight"],
+        "classWeights": ["none", "balanced", "balanced_subsample"],
     },
     "gradient_boosting": {
         "maxIter": [50, 100, 200],
@@ -78,8 +83,9 @@ REDUCED = {
     "random_forest": {
         "numTrees": [100, 200],
         "maxDepth": [10, 15],
+        "minInstancesPerSplit": [5, 10],
         "minInstancesPerNode": [1, 2],
-        "weightCol": [None, "weight"],
+        "classWeights": ["none", "balanced"],
     },
     "gradient_boosting": {
         "maxIter": [100, 200],
@@ -94,7 +100,7 @@ def base_model(name: str) -> Estimator:
     if name not in FULL:
         raise ValueError(f"unknown model: {name}")
     if name == "random_forest":
-        return RandomForestClassifier(seed=SEED)
+        return BootstrapForest(seed=SEED)
     if name == "gradient_boosting":
         return GBTClassifier(seed=SEED)
     return presets.make(name)
@@ -143,6 +149,40 @@ def search(
     return found.bestModel, table.orderBy(F.col("f1").desc(), "setting")
 
 
+def _rows_at(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet folder, -1 where there is none."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException:
+        return -1
+
+
+def search_kept(
+    name: str, df: DataFrame, settings: list[dict[str, object]], path: str, k: int = 5
+) -> DataFrame:
+    """One row per setting with the mean and the deviation of its fold metrics, best F1 first.
+
+    Every setting's out-of-fold probabilities (setting, key, label, fold, p) are written below
+    ``path`` before anything is measured; all metrics come from them in one pass, and so can
+    others later, without training again. A setting whose rows are all there is not trained again.
+    """
+    spark, estimator = df.sparkSession, base_model(name)
+    rows = class_weights(folds(df, "key", "label", k), "label").persist()
+    n = rows.count()
+    for i, chosen in enumerate(_param_maps(estimator, settings)):
+        if _rows_at(spark, f"{path}/setting={i}") == n:
+            continue
+        scored = out_of_fold({"it": estimator.copy(chosen)}, rows, k)
+        kept = scored.select("key", "label", "fold", F.col("p_it").alias("p"))
+        kept.write.mode("overwrite").parquet(f"{path}/setting={i}")
+    rows.unpersist()
+    per_fold = metrics(spark.read.parquet(path), "label", "p", ["setting", "fold"])
+    found = fold_summary(per_fold, "setting", "fold", ["accuracy", "f1", "roc_auc"])
+    texts = [(i, name, str({p: v for p, v in s.items() if v is not None})) for i, s in enumerate(settings)]
+    named = spark.createDataFrame(texts, "setting int, model string, params string")
+    return named.join(found, "setting").orderBy(F.col("f1_mean").desc(), "setting")
+
+
 def grid_search(
     name: str, df: DataFrame, grid: dict[str, list] | None = None, k: int = 5
 ) -> tuple[object, DataFrame]:
