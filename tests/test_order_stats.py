@@ -222,3 +222,29 @@ def test_known_confusion_matrix(spark):
     assert row["recall"] == pytest.approx(0.5133689839572193)
     assert row["f1"] == pytest.approx(0.5853658536585366)
     assert row["specificity"] == pytest.approx(0.9131274131274131)
+
+
+def test_rows_are_sent_to_few_chunks_whatever_the_blocks(spark, monkeypatch):
+    """Small blocks in many dimensions: a row goes to each chunk once, not to every block."""
+    seen, across = [], neighbors._across
+    monkeypatch.setattr(neighbors, "_across", lambda local, *a: seen.append(local) or across(local, *a))
+    m = np.random.default_rng(8).normal(size=(1500, 16))
+    gaps = np.sqrt(((m[:, None] - m[None]) ** 2).sum(2))
+    np.fill_diagonal(gaps, np.inf)
+    found = neighbors.nearest(vectors(spark, m), "id", "v", 3, block_rows=8).collect()
+    expected = {(i, int(j), r + 1) for i in range(1500) for r, j in enumerate(np.argsort(gaps[i])[:3])}
+    assert {(r["id"], r["neighbor"], r["rank"]) for r in found} == expected
+    assert seen[0].agg(F.avg(F.size("reach"))).first()[0] <= 20
+
+
+def test_many_equal_distances_large_values_and_holes(spark):
+    """Ties go by id; far-off values keep their order; a vector that is not finite hides no other."""
+    rng = np.random.default_rng(9)
+    ties = rng.integers(0, 2, (400, 12)).astype(float)
+    for m in (ties, ties[:200] * 1e-3 + 1e6, rng.normal(size=(200, 3)) * 1e20):
+        gaps = np.sqrt(((m[:, None] - m[None]) ** 2).sum(2))
+        np.fill_diagonal(gaps, np.inf)
+        expected = {(i, int(j), r + 1) for i in range(len(m)) for r, j in enumerate(np.lexsort((np.arange(len(m)), gaps[i]))[:4])}
+        df = vectors(spark, np.concatenate([m, np.full((1, m.shape[1]), np.nan)]))
+        found = neighbors.nearest(df, "id", "v", 4, block_rows=32).collect()
+        assert {(r["id"], r["neighbor"], r["rank"]) for r in found} == expected
