@@ -248,3 +248,27 @@ def test_many_equal_distances_large_values_and_holes(spark):
         df = vectors(spark, np.concatenate([m, np.full((1, m.shape[1]), np.nan)]))
         found = neighbors.nearest(df, "id", "v", 4, block_rows=32).collect()
         assert {(r["id"], r["neighbor"], r["rank"]) for r in found} == expected
+
+
+@pytest.mark.parametrize("length", [None, 0.4])
+def test_hashing_keeps_the_best_of_a_bucket_only(spark, monkeypatch, length):
+    """Same answers as the join over all pairs of a bucket; what is ranked stays near k a row."""
+    ranked, seen = neighbors._ranked, []
+    monkeypatch.setattr(neighbors, "_ranked", lambda pairs, k: seen.append(pairs) or ranked(pairs, k))
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 100)
+    m = np.random.default_rng(10).normal(size=(300, 4)) * 0.4
+    df = vectors(spark, np.concatenate([m, m[:1]]))
+    points = df.select("id", neighbors.array_to_vector("v").alias("features"))
+    model = neighbors.BucketedRandomProjectionLSH(
+        inputCol="features", outputCol="hashes", bucketLength=length or 1.2, numHashTables=4, seed=42
+    ).fit(points)
+    pairs = model.approxSimilarityJoin(points, points, 1.2, "d").select("datasetA.id", F.col("datasetB.id").alias("n"), "d").collect()
+    best = {}
+    for r in pairs:
+        if r["id"] != r["n"]:
+            best.setdefault(r["id"], []).append((round(r["d"], 9), r["n"]))
+    expected = {(i, n, at + 1) for i, near in best.items() for at, (_, n) in enumerate(sorted(near)[:5])}
+    found = neighbors.nearest_by_hashing(df, "id", "v", 5, radius=1.2, bucket_length=length)
+    assert {(r["id"], r["neighbor"], r["rank"]) for r in found.collect()} == expected
+    if length is None:
+        assert seen[0].count() < len(pairs) / 2
