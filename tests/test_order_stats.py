@@ -250,6 +250,25 @@ def test_many_equal_distances_large_values_and_holes(spark):
         assert {(r["id"], r["neighbor"], r["rank"]) for r in found} == expected
 
 
+def test_adasyn_searches_once(spark):
+    """Hardness, its total and the test for copies read one search; so do the drawn neighbours."""
+    rng = np.random.default_rng(4)
+    labels = (np.arange(100) % 5 == 0).astype(int)
+    rows = spark.sparkContext.accumulator(0)
+
+    def search(*args, **more):
+        def counted(batches):
+            for pdf in batches:
+                rows.add(len(pdf))
+                yield pdf
+
+        found = neighbors.nearest(*args, **more)
+        return found.mapInPandas(counted, found.schema)
+
+    made = rebalance.adasyn(vectors(spark, rng.normal(size=(100, 2)), labels), "id", "label", "v", search=search)
+    assert made.count() > 0 and rows.value == 5 * 100 + 5 * 20
+
+
 @pytest.mark.parametrize("length", [None, 0.4])
 def test_hashing_keeps_the_best_of_a_bucket_only(spark, monkeypatch, length):
     """Same answers as the join over all pairs of a bucket; what is ranked stays near k a row."""
