@@ -181,3 +181,17 @@ def test_kept_search_is_measured_from_its_files(spark, classified, tmp_path):
         assert r["f1_mean"] == pytest.approx(np.mean(f1))
     again = tuning.search_kept("random_forest", classified, settings, path, 2).collect()
     assert [tuple(r) for r in again] == [tuple(r) for r in found]
+
+
+def test_trees_go_out_once_a_level(spark, classified, monkeypatch):
+    """Jobs of a level share one broadcast, which is given up after it; small jobs give the same trees."""
+    made = lambda: forest.BootstrapForest(numTrees=3, maxDepth=5).fit(classified).tree_list()
+    whole, seen, count = made(), [], forest.count_nodes
+    monkeypatch.setattr(forest, "count_nodes", lambda blocks, sent, *a: seen.append(sent) or count(blocks, sent, *a))
+    monkeypatch.setattr(forest, "CELLS", 1)
+    assert made() == whole
+    assert len({s._jbroadcast.id() for s in seen}) <= 5 < len(seen)
+    assert not any(s._jbroadcast.isValid() for s in seen)
+    monkeypatch.setattr(forest, "SMALL_TABLE", 0)  # splits are picked in the tasks
+    monkeypatch.setattr(forest, "CELLS", 1 << 20)
+    assert made() == whole
