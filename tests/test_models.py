@@ -211,3 +211,15 @@ def test_experiment_end_to_end(spark, tmp_path):
 def test_weighted_mean_is_normalised(spark):
     df = spark.createDataFrame([(0.2, 0.8)], "a double, b double")
     assert df.select(scalars.weighted_mean(["a", "b"], [1, 3])).first()[0] == pytest.approx(0.65)
+
+
+def test_compared_ensembles_share_their_fits(classified, monkeypatch):
+    """One fit on all rows and one a fold, whatever the number of ensembles; same metrics as apart."""
+    fits, fit = [], presets.BoostedTrees._fit
+    monkeypatch.setattr(presets.BoostedTrees, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    models = {"xgboost": two()["xgboost"]}
+    rows = {r["model"]: r for r in ensembles.compare_ensembles(models, classified, classified, k=2).collect()}
+    assert len(fits) == 3 and len(rows) == 3
+    for name, use in (("stacking", False), ("stacking_features", True)):
+        apart = ensembles.Stacking(models, use_features=use, k=2).fit(classified).evaluate(classified)
+        assert all(rows[name][m] == pytest.approx(apart[m], abs=1e-6) for m in ("f1", "roc_auc", "tp", "fp"))
