@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from wanewatch.functions import scalars
 from wanewatch.operators import fallback
 from wanewatch.operators.split import folds
-from wanewatch.plans import benchmark, ensembles, experiment, presets, trainer, tuning
+from wanewatch.plans import benchmark, boosting, ensembles, experiment, presets, trainer, tuning
 from wanewatch.sources.model_store import BestCheckpoint, Checkpoints, TrainingResumer
 from wanewatch.sources.subscribers import subscribers
 from wanewatch.sources.tracking import RunLog
@@ -223,3 +223,14 @@ def test_compared_ensembles_share_their_fits(classified, monkeypatch):
     for name, use in (("stacking", False), ("stacking_features", True)):
         apart = ensembles.Stacking(models, use_features=use, k=2).fit(classified).evaluate(classified)
         assert all(rows[name][m] == pytest.approx(apart[m], abs=1e-6) for m in ("f1", "roc_auc", "tp", "fp"))
+
+
+def test_boosted_models_of_a_vote_share_their_bins(classified, monkeypatch):
+    """Rows are binned once for models that bin alike; same trees as fitted apart."""
+    made, blocks_of = [], boosting.blocks_of
+    monkeypatch.setattr(boosting, "blocks_of", lambda *a: made.append(blocks_of(*a)) or made[-1])
+    models = {n: presets.make(n, {**SMALL, "trees": 12}) for n in ("xgboost", "random_forest", "lightgbm")}
+    vote = ensembles.WeightedVote(models).fit(classified)
+    assert len(made) == 1 and not made[0].is_cached
+    for name in ("xgboost", "lightgbm"):
+        assert vote.fitted[name].tree_list() == models[name].fit(classified).tree_list()
