@@ -234,3 +234,17 @@ def test_boosted_models_of_a_vote_share_their_bins(classified, monkeypatch):
     assert len(made) == 1 and not made[0].is_cached
     for name in ("xgboost", "lightgbm"):
         assert vote.fitted[name].tree_list() == models[name].fit(classified).tree_list()
+
+
+def test_meta_learner_reads_written_probabilities(classified):
+    """Base models score the blend part once, before the meta-learner's passes over its rows."""
+    plans = []
+
+    class Meta(presets.BoostedTrees):
+        def binned(self, dataset):
+            plans.append(dataset._jdf.queryExecution().optimizedPlan().toString())
+            return super().binned(dataset)
+
+    blend = ensembles.Blending(two(), meta=Meta(maxIter=3, maxDepth=2)).fit(classified)
+    assert len(plans) == 1 and "Python" not in plans[0] and "LogicalRDD" in plans[0]
+    assert blend.score(classified) > 0.7
