@@ -195,3 +195,41 @@ def test_trees_go_out_once_a_level(spark, classified, monkeypatch):
     monkeypatch.setattr(forest, "SMALL_TABLE", 0)  # splits are picked in the tasks
     monkeypatch.setattr(forest, "CELLS", 1 << 20)
     assert made() == whole
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"classWeights": "balanced_subsample", "minInstancesPerSplit": 5},
+        {"maxDepth": 6, "minInstancesPerNode": 3},
+        {"maxNodes": 41, "classWeights": "balanced"},
+    ],
+)
+def test_rows_dealt_out_by_node_give_the_same_trees(spark, monkeypatch, options):
+    """Beyond a number of cells a level no longer passes over all rows; large nodes wait until they are smaller."""
+    df = feature_frame(spark, *table(900, 5)).persist()
+    made = lambda: forest.BootstrapForest(numTrees=3, **options).fit(df).tree_list()
+    whole, passes, count = made(), [], forest.count_nodes
+    monkeypatch.setattr(forest, "count_nodes", lambda blocks, sent, wanted, *a: passes.append(wanted) or count(blocks, sent, wanted, *a))
+    monkeypatch.setattr(forest, "DEALT_CELLS", 1)
+    assert made() == whole
+    assert [[node for _, node in p] for p in passes] == [[0, 0, 0]]
+    monkeypatch.setattr(forest, "NODE_ROWS", 200)
+    monkeypatch.setattr(forest, "DEALT_ROWS", 700)  # one tree at a time
+    monkeypatch.setattr(forest, "SENT_ROWS", 50)
+    assert made() == whole
+    cached = set(spark.sparkContext._jsc.getPersistentRDDs())
+    assert made() == whole and set(spark.sparkContext._jsc.getPersistentRDDs()) == cached
+
+
+def test_searched_settings_share_the_binned_rows_of_a_fold(spark, classified, tmp_path, monkeypatch):
+    blocks, blocks_of = [], forest.blocks_of
+    monkeypatch.setattr(forest, "blocks_of", lambda *a: blocks.append(blocks_of(*a)) or blocks[-1])
+    settings = tuning.combinations({"numTrees": [2], "maxDepth": [0, 2], "classWeights": ["none", "balanced"]})
+    path = str(tmp_path / "shared")
+    tuning.search_kept("random_forest", classified, settings, path, 2).collect()
+    assert len(blocks) == 2 and not any(b.is_cached for b in blocks)
+    apart = str(tmp_path / "apart")
+    tuning.search_kept("random_forest", classified, settings[3:], apart, 2).collect()
+    rows = lambda p: sorted((r["key"], r["p"]) for r in spark.read.parquet(p).collect())
+    assert rows(f"{path}/setting=3") == rows(f"{apart}/setting=0")
