@@ -248,3 +248,38 @@ def test_meta_learner_reads_written_probabilities(classified):
     blend = ensembles.Blending(two(), meta=Meta(maxIter=3, maxDepth=2)).fit(classified)
     assert len(plans) == 1 and "Python" not in plans[0] and "LogicalRDD" in plans[0]
     assert blend.score(classified) > 0.7
+
+
+def test_compared_ensembles_are_the_whole_presets(spark, monkeypatch):
+    """The query compares all models of the ensemble with their own sizes, on five folds."""
+    from wanewatch.catalog import model_queries
+
+    seen = []
+    monkeypatch.setattr(model_queries, "_parts", lambda *a: {"train": None, "test": None})
+    table = spark.createDataFrame([("stacking", 1.0)], "model string, train_seconds double")
+    monkeypatch.setattr(ensembles, "compare_ensembles", lambda models, *a, k=5, **_: seen.append((models, k)) or table)
+    model_queries.compare_ensembles(spark, "")
+    models, k = seen[0]
+    assert k == 5 and list(models) == list(presets.ENSEMBLE)
+    for name, model in models.items():
+        trees = "numTrees" if name == "random_forest" else "maxIter"
+        assert model.getOrDefault(model.getParam(trees)) == presets.ENSEMBLE[name]["trees"]
+        assert model.getOrDefault(model.getParam("maxDepth")) == presets.ENSEMBLE[name]["depth"]
+
+
+def test_ensembles_compared_from_threads_are_the_same(classified):
+    models = {"xgboost": two()["xgboost"], "random_forest": two()["random_forest"]}
+    compared = lambda **more: ensembles.compare_ensembles(models, classified, classified, k=3, **more).collect()
+    assert compared(parallel=3) == compared()
+
+
+def test_one_partition_grows_the_trees_of_many(classified, monkeypatch):
+    """Rows of one partition need no job a level; a tree is the same on any partitioning."""
+    estimator = presets.make("lightgbm", {**SMALL, "trees": 23})
+    jobs, grow_trees = [], boosting.grow_trees
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    many = estimator.fit(classified).tree_list()
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 8_192)
+    monkeypatch.setattr(boosting, "grow_trees", lambda *a: jobs.append(1) or grow_trees(*a))
+    assert estimator.fit(classified).tree_list() == many and len(many) == 23
+    assert not jobs  # not grown from the driver
